@@ -60,3 +60,231 @@ def q_item_features(spark, sf_dir):
     O.INTERACTION_FEATURES_CTE))
 def q_interaction_features(spark, sf_dir):
     return portable(features.interaction_features(prepared(spark, sf_dir), as_of=AS_OF))
+
+
+# -- sources, speed layer, merge, cleaning ------------------------------------
+
+def _speed_ordered(df):
+    from pyspark.sql import functions as F
+    from featurelake.functions import as_timestamp
+    return [as_timestamp("ts").desc_nulls_last(), F.col("event_id").asc_nulls_first()]
+
+
+@register("landed_transactions", O.q(f"SELECT {O.portable_select(O.COMBINED_COLS)} FROM raw_tx"))
+def q_landed_transactions(spark, sf_dir):
+    """S2 -> S4 -> S1: land the raw feed twice as CSV snapshots; only the
+    newest snapshot is read back (so rows are not doubled)."""
+    import datetime as dt
+    from featurelake.session import fresh_dir
+    from featurelake.sources import lake
+    root = fresh_dir(spark, "lake")
+    raw = fixtures.interactions_raw(spark, sf_dir)
+    lake.land_raw(raw, root, "internal", "transactions", dt.datetime(2024, 1, 1, 12, 0, 0))
+    lake.land_raw(raw, root, "internal", "transactions", dt.datetime(2024, 1, 2, 12, 0, 0))
+    return lake.latest_snapshot(spark, root, "internal", "transactions")
+
+
+@register("speed_table", O.SPEED_TABLE_SQL)
+def q_speed_table(spark, sf_dir):
+    """Event lines streamed (three micro-batches) into the speed table."""
+    from featurelake.session import fresh_dir
+    from featurelake.sources import lake
+    from featurelake.streaming import speed_layer
+    root = fresh_dir(spark, "speed")
+    fixtures.event_lines(spark, sf_dir).repartition(3).write.text(f"{root}/incoming")
+    speed_layer.ingest_folder(spark, f"{root}/incoming", f"{root}/clicks", f"{root}/dead",
+                              f"{root}/_checkpoint", max_files_per_trigger=1)
+    return lake.read_speed(spark, f"{root}/clicks").select("event_id", "user_id", "product_id", "action", "ts")
+
+
+@register("latest_events", O.LATEST_EVENTS_SQL)
+def q_latest_events(spark, sf_dir):
+    from featurelake.streaming import speed_layer
+    speed = fixtures.speed_snapshot(spark, sf_dir)
+    return speed_layer.latest_events(speed, 10, order=_speed_ordered(speed)).select(
+        "event_id", "user_id", "product_id", "action", "ts")
+
+
+@register("event_count", O.EVENT_COUNT_SQL)
+def q_event_count(spark, sf_dir):
+    from featurelake.streaming import speed_layer
+    return speed_layer.event_count(fixtures.speed_snapshot(spark, sf_dir))
+
+
+@register("stream_interactions", O.q(f"SELECT {O.portable_select(O.COMBINED_COLS)} FROM stream_rows"))
+def q_stream_interactions(spark, sf_dir):
+    return merge.stream_interactions(fixtures.speed_snapshot(spark, sf_dir), id_mode="rank")
+
+
+@register("combined_interactions", O.q(f"SELECT {O.portable_select(O.COMBINED_COLS)} FROM combined"))
+def q_combined(spark, sf_dir):
+    return combined(spark, sf_dir)
+
+
+@register("prepared_interactions", O.q(f"SELECT {O.portable_select(O.PREPARED_COLS)} FROM prepared"))
+def q_prepared(spark, sf_dir):
+    return portable(prepared(spark, sf_dir))
+
+
+# -- data quality ---------------------------------------------------------------
+
+@register("dq_metrics", O.DQ_METRICS_SQL)
+def q_dq_metrics(spark, sf_dir):
+    from featurelake.operators import quality
+    return quality.dq_metrics(combined(spark, sf_dir))
+
+
+@register("dq_missing_by_column", O.DQ_MISSING_SQL)
+def q_dq_missing(spark, sf_dir):
+    from featurelake.operators import quality
+    return quality.missing_by_column(combined(spark, sf_dir))
+
+
+@register("dq_failures", O.DQ_FAILURES_SQL)
+def q_dq_failures(spark, sf_dir):
+    from featurelake.operators import quality
+    return quality.validate(combined(spark, sf_dir))
+
+
+@register("dq_summary", O.DQ_SUMMARY_SQL)
+def q_dq_summary(spark, sf_dir):
+    from featurelake.operators import quality
+    summary, _ = quality.dq_report(combined(spark, sf_dir))
+    return summary
+
+
+# -- exploratory summaries --------------------------------------------------
+
+@register("rating_distribution", O.RATING_DIST_SQL)
+def q_rating_distribution(spark, sf_dir):
+    from featurelake.operators import summaries
+    return portable(summaries.rating_distribution(prepared(spark, sf_dir)))
+
+
+@register("top_items", O.TOP_ITEMS_SQL)
+def q_top_items(spark, sf_dir):
+    from featurelake.operators import summaries
+    return summaries.top_items(prepared(spark, sf_dir), 10)
+
+
+# -- feature store ----------------------------------------------------------
+
+def _stamped(df):
+    from featurelake.operators import store
+    return store.stamp(df, as_of=AS_OF)
+
+
+def _feature_tables(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    return (features.user_features(p, as_of=AS_OF), features.item_features(p, as_of=AS_OF),
+            features.interaction_features(p, as_of=AS_OF))
+
+
+_STAMP_COLS = [("updated_at", "s"), ("version", "s")]
+
+
+@register("feature_store_users", O.q(
+    f"SELECT {O.portable_select(O.USER_FEATURE_COLS)}, {O.STAMP_SQL} AS updated_at, "
+    f"'v1.0_combined' AS version FROM user_feat", O.USER_FEATURES_CTE))
+def q_feature_store_users(spark, sf_dir):
+    """Write a new store version of all three tables, read users back."""
+    from featurelake.operators import store
+    from featurelake.session import fresh_dir
+    root = fresh_dir(spark, "store")
+    u, i, x = _feature_tables(spark, sf_dir)
+    store.update_feature_store(root, u, i, x, as_of=AS_OF)
+    return portable(store.read_table(spark, root, "user_features"))
+
+
+@register("fetch_features_batch", O.q(
+    f"SELECT {O.portable_select(O.USER_FEATURE_COLS)} FROM "
+    "(SELECT k.user_id, uf.* EXCLUDE (user_id) FROM "
+    "(SELECT 'U' || CAST(c_custkey AS VARCHAR) AS user_id FROM customer) k "
+    "LEFT JOIN user_feat uf ON k.user_id = uf.user_id) j", O.USER_FEATURES_CTE))
+def q_fetch_features_batch(spark, sf_dir):
+    """F4 (batch form): features of every customer, null for unseen ones."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import store
+    keys = fixtures.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("user_id"))
+    users = features.user_features(prepared(spark, sf_dir), as_of=AS_OF)
+    return portable(store.fetch_many(users, keys, "user"))
+
+
+def _cols_text(cols):
+    return ",".join([c for c, _ in cols] + ["updated_at", "version"])
+
+
+@register("store_summary", O.q(
+    f"SELECT 'user_features' AS \"table\", count(*) AS rows, '{_cols_text(O.USER_FEATURE_COLS)}' AS columns FROM user_feat "
+    f"UNION ALL SELECT 'item_features', count(*), '{_cols_text(O.ITEM_FEATURE_COLS)}' FROM item_feat "
+    f"UNION ALL SELECT 'interaction_features', count(*), '{_cols_text(O.INTERACTION_FEATURE_COLS)}' FROM inter_feat",
+    O.USER_FEATURES_CTE, O.ITEM_FEATURES_CTE, O.INTERACTION_FEATURES_CTE))
+def q_store_summary(spark, sf_dir):
+    """rows and columns of each stamped table."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import store
+    u, i, x = _feature_tables(spark, sf_dir)
+    parts = [store.store_summary(_stamped(df), name)
+             for name, df in (("user_features", u), ("item_features", i), ("interaction_features", x))]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select("table", "rows", F.array_join("columns", ",").alias("columns"))
+
+
+@register("sample_user_features", O.q(
+    f"SELECT {O.portable_select([('user_id', 's'), ('user_total_interactions', 'i'), ('user_avg_rating', 'd'), ('user_engagement_score', 'd')])} "
+    "FROM user_feat ORDER BY user_id LIMIT 5", O.USER_FEATURES_CTE))
+def q_sample_user_features(spark, sf_dir):
+    """first five users' headline features."""
+    from featurelake.operators import store
+    u = features.user_features(prepared(spark, sf_dir), as_of=AS_OF)
+    return portable(store.sample_features(
+        u, ["user_id", "user_total_interactions", "user_avg_rating", "user_engagement_score"], 5, "user_id"))
+
+
+@register("user_statistics", O.q(
+    f"SELECT {O.round6('avg(user_engagement_score)')} AS avg_engagement_score, "
+    "(SELECT user_id FROM user_feat ORDER BY user_total_interactions DESC, user_id LIMIT 1) AS most_active_user, "
+    "max(user_total_interactions) AS most_active_count, "
+    f"{O.round6('avg(user_avg_rating)')} AS avg_user_rating FROM user_feat", O.USER_FEATURES_CTE))
+def q_user_statistics(spark, sf_dir):
+    from featurelake.operators import store
+    return portable(store.user_statistics(features.user_features(prepared(spark, sf_dir), as_of=AS_OF)))
+
+
+@register("item_statistics", O.q(
+    f"SELECT {O.round6('avg(item_quality_score)')} AS avg_quality_score, "
+    "(SELECT product_id FROM item_feat ORDER BY item_popularity_score DESC, product_id LIMIT 1) AS most_popular_item, "
+    "max(item_popularity_score) AS most_popular_count, "
+    f"{O.round6('avg(item_avg_rating)')} AS avg_item_rating FROM item_feat", O.ITEM_FEATURES_CTE))
+def q_item_statistics(spark, sf_dir):
+    from featurelake.operators import store
+    return portable(store.item_statistics(features.item_features(prepared(spark, sf_dir), as_of=AS_OF)))
+
+
+@register("interaction_statistics", O.q(
+    "SELECT count(*) AS unique_pairs, "
+    f"{O.round6('avg(interaction_count)')} AS avg_interactions_per_pair, "
+    "(SELECT user_id FROM inter_feat ORDER BY interaction_count DESC, user_id, product_id LIMIT 1) AS top_pair_user, "
+    "(SELECT product_id FROM inter_feat ORDER BY interaction_count DESC, user_id, product_id LIMIT 1) AS top_pair_product, "
+    "max(interaction_count) AS top_pair_count FROM inter_feat", O.INTERACTION_FEATURES_CTE))
+def q_interaction_statistics(spark, sf_dir):
+    from featurelake.operators import store
+    return portable(store.interaction_statistics(
+        features.interaction_features(prepared(spark, sf_dir), as_of=AS_OF)))
+
+
+@register("version_check", O.q(
+    f"SELECT 'v1.0_combined' AS versions, max({O.STAMP_SQL}) AS last_updated FROM user_feat", O.USER_FEATURES_CTE))
+def q_version_check(spark, sf_dir):
+    from featurelake.operators import store
+    return store.version_check(_stamped(features.user_features(prepared(spark, sf_dir), as_of=AS_OF)))
+
+
+# -- lineage ----------------------------------------------------------------
+
+@register("lineage_fingerprint", O.LINEAGE_SQL)
+def q_lineage_fingerprint(spark, sf_dir):
+    """L1: order-free content fingerprint of the combined raw table."""
+    from featurelake.operators import lineage
+    return lineage.fingerprint(combined(spark, sf_dir))

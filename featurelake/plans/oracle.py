@@ -227,3 +227,89 @@ INTERACTION_FEATURE_COLS = [
     ("interaction_first", "t"), ("interaction_last", "t"),
     ("interaction_recency_days", "i"), ("interaction_span_days", "i"),
 ]
+
+
+def q(body: str, *ctes: str) -> str:
+    return with_base(body, ",\n".join(c for c in ctes if c))
+
+
+COMBINED_COLS = [("transaction_id", "s"), ("user_id", "s"), ("product_id", "s"),
+                 ("amount", "s"), ("rating", "i"), ("timestamp", "s")]
+PREPARED_COLS = [("transaction_id", "s"), ("user_id", "s"), ("product_id", "s"),
+                 ("amount", "d"), ("rating", "d"), ("timestamp", "s")]
+
+
+def nulls_in_row(cols: list[str]) -> str:
+    return " + ".join(f"(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in cols)
+
+
+TX_NAMES = [c for c, _ in COMBINED_COLS]
+
+DQ_METRICS_SQL = q(f"""SELECT CAST(COALESCE(sum(n), 0) AS BIGINT) AS total_rows,
+       CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicates,
+       CAST(COALESCE(sum(n * nulls), 0) AS BIGINT) AS missing_values
+FROM (SELECT count(*) AS n, {nulls_in_row(TX_NAMES)} AS nulls
+      FROM combined GROUP BY {", ".join(TX_NAMES)}) g""")
+
+DQ_MISSING_SQL = q(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS missing FROM combined"
+    for c in TX_NAMES))
+
+DQ_FAILURES_BODY = """
+SELECT 'user_id' AS "column", 'not_null' AS "check", CAST(user_id AS VARCHAR) AS failure_case, transaction_id AS row_key
+  FROM combined WHERE user_id IS NULL
+UNION ALL
+SELECT 'product_id', 'not_null', CAST(product_id AS VARCHAR), transaction_id FROM combined WHERE product_id IS NULL
+UNION ALL
+SELECT 'rating', 'castable(double)', CAST(rating AS VARCHAR), transaction_id
+  FROM combined WHERE rating IS NOT NULL AND TRY_CAST(rating AS DOUBLE) IS NULL
+UNION ALL
+SELECT 'rating', 'in_range(1, 5)', CAST(rating AS VARCHAR), transaction_id
+  FROM combined WHERE rating IS NOT NULL AND (CAST(rating AS DOUBLE) < 1 OR CAST(rating AS DOUBLE) > 5)
+UNION ALL
+SELECT 'timestamp', 'not_null', timestamp, transaction_id FROM combined WHERE timestamp IS NULL
+UNION ALL
+SELECT 'timestamp', 'castable(timestamp)', timestamp, transaction_id
+  FROM combined WHERE timestamp IS NOT NULL AND TRY_CAST(timestamp AS TIMESTAMP) IS NULL"""
+
+DQ_FAILURES_CTE = f"dq_fail AS ({DQ_FAILURES_BODY})"
+
+DQ_FAILURES_SQL = q("SELECT * FROM dq_fail", DQ_FAILURES_CTE)
+
+DQ_SUMMARY_SQL = q(f"""SELECT m.*, f.failure_count,
+       CASE WHEN f.failure_count = 0 THEN 'PASSED' ELSE 'FAILED' END AS status
+FROM (SELECT CAST(COALESCE(sum(n), 0) AS BIGINT) AS total_rows,
+             CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicates,
+             CAST(COALESCE(sum(n * nulls), 0) AS BIGINT) AS missing_values
+      FROM (SELECT count(*) AS n, {nulls_in_row(TX_NAMES)} AS nulls
+            FROM combined GROUP BY {", ".join(TX_NAMES)}) g) m,
+     (SELECT CAST(count(*) AS BIGINT) AS failure_count FROM dq_fail) f""", DQ_FAILURES_CTE)
+
+RATING_DIST_SQL = q(f"SELECT {round6('rating')} AS rating, count(*) AS count FROM prepared GROUP BY rating")
+
+TOP_ITEMS_SQL = q("""SELECT product_id, count(*) AS count FROM prepared WHERE product_id IS NOT NULL
+GROUP BY product_id ORDER BY count DESC, product_id ASC LIMIT 10""")
+
+LATEST_EVENTS_SQL = q("""SELECT event_id, user_id, product_id, action, ts FROM speed
+ORDER BY TRY_CAST(ts AS TIMESTAMP) DESC NULLS LAST, event_id ASC LIMIT 10""")
+
+EVENT_COUNT_SQL = q("SELECT count(*) AS total FROM speed")
+
+SPEED_TABLE_SQL = q("SELECT event_id, user_id, product_id, action, ts FROM speed")
+
+FIELD_SEP_SQL = "chr(31)"
+
+
+def fingerprint_sql(source: str, cols: list[str]) -> str:
+    text = f"concat_ws({FIELD_SEP_SQL}, " + ", ".join(
+        f"COALESCE(CAST({c} AS VARCHAR), '\\N')" for c in cols) + ")"
+    digest = f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+    return f"""SELECT rows, content_sum, md5(CAST(rows AS VARCHAR) || ':' || content_sum) AS fingerprint
+FROM (SELECT count(*) AS rows,
+             CAST(COALESCE(sum(CAST({digest} AS HUGEINT)), 0) AS VARCHAR) AS content_sum
+      FROM {source}) f"""
+
+
+LINEAGE_SQL = q(fingerprint_sql("combined", TX_NAMES))
+
+STAMP_SQL = "strftime(TIMESTAMP '2024-02-01 00:00:00', '%Y-%m-%dT%H:%M:%S.%f')"
