@@ -288,3 +288,155 @@ def q_lineage_fingerprint(spark, sf_dir):
     """L1: order-free content fingerprint of the combined raw table."""
     from featurelake.operators import lineage
     return lineage.fingerprint(combined(spark, sf_dir))
+
+
+# -- recommender -------------------------------------------------------------------
+
+def brand_cells(spark, sf_dir):
+    """R1 over the raw (uncleaned) interactions with the part brand as item."""
+    from featurelake.operators import recommend
+    return recommend.rating_cells(fixtures.brand_interactions(spark, sf_dir))
+
+
+def item_mean_model(cells):
+    """A rank-1 factor model whose prediction is the item's mean observed
+    rating (u = [1], v = [mean]).  Its scores are derivable in SQL, so the
+    scoring, top-K and evaluation operators can be checked against DuckDB with
+    the same code paths the SVD model uses."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import recommend
+    obs = recommend.observed_cells(cells)
+    means = obs.groupBy("product_id").agg(F.avg("rating").alias("m"))
+    index = recommend.item_index(cells)
+    items = index.join(means, "product_id").select(
+        "product_id", "item_idx", F.array(F.col("m")).alias("v"))
+    users = cells.select("user_id").distinct().select("user_id", F.array(F.lit(1.0)).alias("u"))
+    n_users, n_items = users.count(), index.count()
+    return recommend.SVDModel(items, users, [1.0], n_users, n_items)
+
+
+def baseline_pairs(spark, sf_dir):
+    from featurelake.operators import recommend
+    cells = brand_cells(spark, sf_dir)
+    return recommend.scored_cells(cells, item_mean_model(cells))
+
+
+@register("rating_cells", O.CELLS_SQL)
+def q_rating_cells(spark, sf_dir):
+    return portable(brand_cells(spark, sf_dir))
+
+
+@register("observed_cells", O.OBSERVED_SQL)
+def q_observed_cells(spark, sf_dir):
+    from featurelake.operators import recommend
+    return portable(recommend.observed_cells(brand_cells(spark, sf_dir)))
+
+
+@register("user_item_matrix", O.MATRIX_SQL)
+def q_user_item_matrix(spark, sf_dir):
+    from featurelake.operators import recommend
+    return portable(recommend.user_item_matrix(brand_cells(spark, sf_dir)))
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    """Sizes of the reproducible 80/20 split of the raw brand interactions."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import recommend
+    train, test = recommend.split(fixtures.brand_interactions(spark, sf_dir), 0.2, 42)
+    return train.agg(F.count(F.lit(1)).alias("train_rows")).select(
+        "train_rows", test.select(F.count(F.lit(1))).scalar().alias("test_rows"))
+
+
+def _svd(spark, sf_dir):
+    from featurelake.operators import recommend
+    cells = brand_cells(spark, sf_dir)
+    return cells, recommend.fit_svd(cells, 12)
+
+
+@register("svd_metrics")
+def q_svd_metrics(spark, sf_dir):
+    """12-component fit, in-sample RMSE / MAE, explained variance,
+    precision and recall at 5 (no SQL form: the fit is iterative)."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import evaluate, recommend
+    cells, model = _svd(spark, sf_dir)
+    err = evaluate.error_metrics(recommend.scored_cells(cells, model))
+    ev = recommend.explained_variance(cells, model).agg(F.sum("explained_variance_ratio")).scalar()
+    pr = recommend.precision_recall_at_k(cells, recommend.recommend(model, 5), 5, 3.5)
+    return err.select(F.lit(model.k).cast("long").alias("n_components"), "rmse", "mae",
+                      ev.alias("explained_variance"),
+                      pr.select("precision_at_5").scalar().alias("precision_at_5"),
+                      pr.select("recall_at_5").scalar().alias("recall_at_5"))
+
+
+@register("svd_explained_variance")
+def q_svd_explained_variance(spark, sf_dir):
+    from featurelake.operators import recommend
+    cells, model = _svd(spark, sf_dir)
+    return recommend.explained_variance(cells, model)
+
+
+@register("svd_top_k")
+def q_svd_top_k(spark, sf_dir):
+    """Top-5 brands per user from the SVD reconstruction."""
+    from featurelake.operators import recommend
+    _, model = _svd(spark, sf_dir)
+    return recommend.recommend(model, 5)
+
+
+@register("baseline_error_metrics", O.BASE_ERROR_SQL)
+def q_baseline_error(spark, sf_dir):
+    from featurelake.operators import evaluate
+    return portable(evaluate.error_metrics(baseline_pairs(spark, sf_dir)))
+
+
+@register("baseline_top_k", O.BASE_TOPK_SQL)
+def q_baseline_top_k(spark, sf_dir):
+    from featurelake.operators import recommend
+    cells = brand_cells(spark, sf_dir)
+    return portable(recommend.recommend(item_mean_model(cells), 5))
+
+
+@register("baseline_precision_recall", O.BASE_PR_SQL)
+def q_baseline_pr(spark, sf_dir):
+    from featurelake.operators import recommend
+    cells = brand_cells(spark, sf_dir)
+    topk = recommend.recommend(item_mean_model(cells), 5)
+    return portable(recommend.precision_recall_at_k(cells, topk, 5, 3.5))
+
+
+@register("baseline_mae_by_rating", O.BASE_MAE_BY_RATING_SQL)
+def q_baseline_mae_by_rating(spark, sf_dir):
+    from featurelake.operators import evaluate
+    return portable(evaluate.mae_by_rating(baseline_pairs(spark, sf_dir)))
+
+
+@register("baseline_residual_histogram", O.BASE_RESID_SQL)
+def q_baseline_residual_histogram(spark, sf_dir):
+    from featurelake.operators import evaluate
+    return portable(evaluate.residual_histogram(baseline_pairs(spark, sf_dir), 25))
+
+
+@register("baseline_shared_histogram", O.BASE_SHARED_SQL)
+def q_baseline_shared_histogram(spark, sf_dir):
+    from featurelake.operators import evaluate
+    return portable(evaluate.shared_histogram(baseline_pairs(spark, sf_dir), 15))
+
+
+@register("baseline_hexbin", O.BASE_HEXBIN_SQL)
+def q_baseline_hexbin(spark, sf_dir):
+    from featurelake.operators import evaluate
+    return portable(evaluate.hexbin_density(baseline_pairs(spark, sf_dir), 15))
+
+
+@register("baseline_kde", O.BASE_KDE_SQL)
+def q_baseline_kde(spark, sf_dir):
+    from featurelake.operators import evaluate
+    return portable(evaluate.kde(baseline_pairs(spark, sf_dir)))
+
+
+@register("matrix_sample", O.MATRIX_SAMPLE_SQL)
+def q_matrix_sample(spark, sf_dir):
+    from featurelake.operators import evaluate
+    return portable(evaluate.matrix_sample(brand_cells(spark, sf_dir), 15))

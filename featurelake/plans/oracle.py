@@ -313,3 +313,132 @@ FROM (SELECT count(*) AS rows,
 LINEAGE_SQL = q(fingerprint_sql("combined", TX_NAMES))
 
 STAMP_SQL = "strftime(TIMESTAMP '2024-02-01 00:00:00', '%Y-%m-%dT%H:%M:%S.%f')"
+
+
+# -- recommender ----------------------------------------------------------------
+
+CELLS_CTE = """brand_raw AS (
+  SELECT r.transaction_id, r.user_id, p.p_brand AS product_id, r.amount, r.rating, r.timestamp
+  FROM raw_keyed r JOIN part p ON r.l_partkey = p.p_partkey
+),
+cells AS (
+  SELECT user_id, product_id, avg(CAST(rating AS DOUBLE)) AS rating
+  FROM brand_raw WHERE user_id IS NOT NULL AND product_id IS NOT NULL
+  GROUP BY user_id, product_id HAVING avg(CAST(rating AS DOUBLE)) IS NOT NULL
+),
+obs AS (SELECT * FROM cells WHERE rating > 0),
+item_mean AS (SELECT product_id, avg(rating) AS m FROM obs GROUP BY product_id),
+pairs AS (
+  SELECT o.user_id, o.product_id, o.rating AS actual, i.m AS prediction
+  FROM obs o JOIN item_mean i ON o.product_id = i.product_id
+),
+cell_users AS (SELECT DISTINCT user_id FROM cells),
+topk AS (SELECT product_id, m FROM item_mean ORDER BY m DESC, product_id ASC LIMIT 5)"""
+
+CELLS_SQL = q(f"SELECT user_id, product_id, {round6('rating')} AS rating FROM cells", CELLS_CTE)
+
+OBSERVED_SQL = q(f"SELECT user_id, product_id, {round6('rating')} AS rating FROM obs", CELLS_CTE)
+
+MATRIX_SQL = q(f"""SELECT user_id, {round6('COALESCE(COLUMNS(* EXCLUDE (user_id)), 0)')}
+FROM (PIVOT cells ON product_id USING first(rating) GROUP BY user_id) w""", CELLS_CTE)
+
+BASE_ERROR_SQL = q(f"""SELECT {round6('sqrt(avg((actual - prediction) * (actual - prediction)))')} AS rmse,
+       {round6('avg(abs(actual - prediction))')} AS mae, count(*) AS n FROM pairs""", CELLS_CTE)
+
+BASE_TOPK_SQL = q(f"""SELECT u.user_id, t.product_id, {round6('t.m')} AS score,
+       CAST(row_number() OVER (PARTITION BY u.user_id ORDER BY t.m DESC, t.product_id) AS BIGINT) AS rank
+FROM cell_users u, topk t""", CELLS_CTE)
+
+BASE_PR_SQL = q("""SELECT avg(CAST(hits AS DOUBLE) / 5.0) AS precision_at_5,
+       avg(CASE WHEN n_rel > 0 THEN CAST(hits AS DOUBLE) / n_rel END) AS recall_at_5
+FROM (
+  SELECT u.user_id, COALESCE(h.hits, 0) AS hits, COALESCE(r.n_rel, 0) AS n_rel
+  FROM cell_users u
+  LEFT JOIN (SELECT c.user_id, count(*) AS hits FROM cells c JOIN topk t ON c.product_id = t.product_id
+             WHERE c.rating >= 3.5 GROUP BY c.user_id) h ON u.user_id = h.user_id
+  LEFT JOIN (SELECT user_id, count(*) AS n_rel FROM cells WHERE rating >= 3.5 GROUP BY user_id) r
+         ON u.user_id = r.user_id
+) p""", CELLS_CTE)
+
+BASE_MAE_BY_RATING_SQL = q(f"""SELECT lv.rating, {round6('COALESCE(e.mae, 0.0)')} AS mae
+FROM (SELECT CAST(range AS BIGINT) AS rating FROM range(1, 6)) lv
+LEFT JOIN (SELECT CAST(floor(actual + 0.5) AS BIGINT) AS rating, avg(abs(actual - prediction)) AS mae
+           FROM pairs GROUP BY 1) e ON lv.rating = e.rating""", CELLS_CTE)
+
+
+def hist_sql(values: str, col: str, bins: int, series: bool = False) -> str:
+    grp = "series, " if series else ""
+    return f"""st AS (SELECT min({col}) AS lo, max({col}) AS hi FROM {values}),
+wd AS (SELECT lo, (hi - lo) / {float(bins)} AS w FROM st),
+binned AS (
+  SELECT {grp}CASE WHEN wd.w = 0 THEN 0
+              ELSE least(greatest(CAST(floor(({col} - wd.lo) / wd.w) AS BIGINT), 0), {bins - 1}) END AS bin
+  FROM {values}, wd WHERE {col} IS NOT NULL
+),
+counts AS (SELECT {grp}bin, count(*) AS cnt FROM binned GROUP BY {grp}bin)"""
+
+
+BASE_RESID_SQL = q(f"""SELECT b.bin, {round6('wd.lo + b.bin * wd.w')} AS lower,
+       {round6('wd.lo + (b.bin + 1) * wd.w')} AS upper, CAST(COALESCE(c.cnt, 0) AS BIGINT) AS count
+FROM (SELECT CAST(range AS BIGINT) AS bin FROM range(25)) b CROSS JOIN wd LEFT JOIN counts c ON b.bin = c.bin""",
+                   CELLS_CTE, "resid AS (SELECT actual - prediction AS residual FROM pairs)",
+                   hist_sql("resid", "residual", 25))
+
+BASE_SHARED_SQL = q(f"""SELECT s.series, b.bin, {round6('wd.lo + b.bin * wd.w')} AS lower,
+       {round6('wd.lo + (b.bin + 1) * wd.w')} AS upper, CAST(COALESCE(c.cnt, 0) AS BIGINT) AS count
+FROM (SELECT CAST(range AS BIGINT) AS bin FROM range(15)) b
+CROSS JOIN (SELECT 'actual' AS series UNION ALL SELECT 'predicted') s CROSS JOIN wd
+LEFT JOIN counts c ON b.bin = c.bin AND s.series = c.series""",
+                    CELLS_CTE,
+                    "vals AS (SELECT 'actual' AS series, actual AS value FROM pairs "
+                    "UNION ALL SELECT 'predicted', prediction FROM pairs)",
+                    hist_sql("vals", "value", 15, series=True))
+
+_NY = 8  # int(15 / sqrt(3))
+BASE_HEXBIN_SQL = q(f"""SELECT lattice, ix, iy,
+       {round6('xmin + (ix + CASE WHEN lattice = 1 THEN 0.0 ELSE 0.5 END) * sx')} AS center_x,
+       {round6('ymin + (iy + CASE WHEN lattice = 1 THEN 0.0 ELSE 0.5 END) * sy')} AS center_y,
+       count(*) AS count
+FROM (
+  SELECT CASE WHEN d1 < d2 THEN 1 ELSE 2 END AS lattice,
+         CAST(CASE WHEN d1 < d2 THEN ix1 ELSE ix2 END AS BIGINT) AS ix,
+         CAST(CASE WHEN d1 < d2 THEN iy1 ELSE iy2 END AS BIGINT) AS iy,
+         xmin, ymin, sx, sy
+  FROM (
+    SELECT *, (x - ix1) * (x - ix1) + 3.0 * (y - iy1) * (y - iy1) AS d1,
+              (x - ix2 - 0.5) * (x - ix2 - 0.5) + 3.0 * (y - iy2 - 0.5) * (y - iy2 - 0.5) AS d2
+    FROM (
+      SELECT x, y, round_even(x, 0) AS ix1, round_even(y, 0) AS iy1,
+             CAST(floor(x) AS DOUBLE) AS ix2, CAST(floor(y) AS DOUBLE) AS iy2, xmin, ymin, sx, sy
+      FROM (SELECT (p.actual - g.xmin) / g.sx AS x, (p.prediction - g.ymin) / g.sy AS y,
+                   g.xmin, g.ymin, g.sx, g.sy
+            FROM pairs p, (
+              SELECT xmin, ymin, (xmax - xmin) / 15.0 AS sx, (ymax - ymin) / {float(_NY)} AS sy FROM (
+                SELECT x0 - (x1 - x0) * 1e-9 AS xmin, x1 + (x1 - x0) * 1e-9 AS xmax,
+                       y0 - (y1 - y0) * 1e-9 AS ymin, y1 + (y1 - y0) * 1e-9 AS ymax
+                FROM (SELECT min(actual) AS x0, max(actual) AS x1, min(prediction) AS y0,
+                             max(prediction) AS y1 FROM pairs) r) e) g) s0) s1) s2) s3
+GROUP BY lattice, ix, iy, xmin, ymin, sx, sy HAVING count(*) >= 1""", CELLS_CTE)
+
+
+def _kde_part(col: str, label: str) -> str:
+    return f"""SELECT '{label}' AS series, g.point, g.start + g.point * g.step AS x,
+       sum(exp(-0.5 * ((g.start + g.point * g.step - p.{col}) / g.bw) * ((g.start + g.point * g.step - p.{col}) / g.bw)))
+         / (g.n * g.bw * sqrt(2 * pi())) AS density
+FROM pairs p, (
+  SELECT CAST(range AS BIGINT) AS point, start, step, bw, n FROM range(200), (
+    SELECT lo - 3.0 * bw AS start, (hi - lo + 6.0 * bw) / 199.0 AS step, bw, n FROM (
+      SELECT min({col}) AS lo, max({col}) AS hi, CAST(count(*) AS DOUBLE) AS n,
+             stddev_samp({col}) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw FROM pairs) a) b) g
+GROUP BY g.point, g.start, g.step, g.bw, g.n"""
+
+
+BASE_KDE_SQL = q(f"""SELECT series, point, {round6('x')} AS x, {round6('density')} AS density FROM (
+{_kde_part('actual', 'actual')}
+UNION ALL
+{_kde_part('prediction', 'prediction')}) k""", CELLS_CTE)
+
+MATRIX_SAMPLE_SQL = q(f"""SELECT u.user_id, i.product_id, {round6('COALESCE(c.rating, 0.0)')} AS rating
+FROM (SELECT DISTINCT user_id FROM cells ORDER BY user_id LIMIT 15) u
+CROSS JOIN (SELECT DISTINCT product_id FROM cells ORDER BY product_id LIMIT 15) i
+LEFT JOIN cells c ON c.user_id = u.user_id AND c.product_id = i.product_id""", CELLS_CTE)
