@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 MICROS_PER_DAY = 86_400_000_000
 
 # Numbers written with a trailing type letter (``1.0d``, ``2f``) are accepted
-# by the JVM parser but are not numbers for the pipeline; reject them.
-_TYPE_SUFFIX = r"(?i)^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[df]$"
+# by the JVM parser but are not numbers for the pipeline; reject them.  The
+# only valid numeric words ending in such a letter are the infinities.
+_TYPE_LETTERS = ("d", "f")
+_INF_WORDS = ("inf", "+inf", "-inf")
 
 
 def col_of(c) -> Column:
@@ -22,8 +24,10 @@ def col_of(c) -> Column:
 def to_double(c) -> Column:
     """Text -> DOUBLE; anything unparseable (and NaN) -> null."""
     s = F.trim(col_of(c).cast("string"))
-    v = F.when(s.rlike(_TYPE_SUFFIX), F.lit(None).cast("double")).otherwise(s.try_cast("double"))
-    return nan_to_null(v)
+    d = s.try_cast("double")
+    lowered = F.lower(s)
+    typed_literal = F.substring(lowered, -1, 1).isin(*_TYPE_LETTERS) & ~lowered.isin(*_INF_WORDS)
+    return F.when(typed_literal | F.isnan(d), F.lit(None).cast("double")).otherwise(d)
 
 
 def nan_to_null(c) -> Column:

@@ -32,13 +32,23 @@ def register(name: str, sql: str | None = None):
 
 # -- shared inputs ----------------------------------------------------------
 
-def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
+    """Keep a derived input (joins + aggregations over the base tables) that a
+    query scans more than once; a lost block is recomputed from lineage."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def combined(spark: SparkSession, sf_dir: str, id_mode: str = "key") -> DataFrame:
+    """Batch + stream.  Stream ids default to the stable ``STREAM_<event_id>``
+    (no global order); ``stream_interactions`` checks the rank form."""
     return merge.combine(fixtures.interactions_raw(spark, sf_dir),
-                         fixtures.speed_snapshot(spark, sf_dir), id_mode="rank")
+                         fixtures.speed_snapshot(spark, sf_dir), id_mode=id_mode)
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.prepare(combined(spark, sf_dir))
+    # the raw input is read twice (rating mean, then the rows): keep it
+    return cleaning.prepare(materialize(combined(spark, sf_dir)))
 
 
 # -- features ---------------------------------------------------------------
@@ -149,7 +159,7 @@ def q_dq_failures(spark, sf_dir):
 @register("dq_summary", O.DQ_SUMMARY_SQL)
 def q_dq_summary(spark, sf_dir):
     from featurelake.operators import quality
-    summary, _ = quality.dq_report(combined(spark, sf_dir))
+    summary, _ = quality.dq_report(materialize(combined(spark, sf_dir)))
     return summary
 
 
@@ -295,7 +305,7 @@ def q_lineage_fingerprint(spark, sf_dir):
 def brand_cells(spark, sf_dir):
     """R1 over the raw (uncleaned) interactions with the part brand as item."""
     from featurelake.operators import recommend
-    return recommend.rating_cells(fixtures.brand_interactions(spark, sf_dir))
+    return materialize(recommend.rating_cells(fixtures.brand_interactions(spark, sf_dir)))
 
 
 def item_mean_model(cells):
@@ -318,7 +328,7 @@ def item_mean_model(cells):
 def baseline_pairs(spark, sf_dir):
     from featurelake.operators import recommend
     cells = brand_cells(spark, sf_dir)
-    return recommend.scored_cells(cells, item_mean_model(cells))
+    return materialize(recommend.scored_cells(cells, item_mean_model(cells)))
 
 
 @register("rating_cells", O.CELLS_SQL)

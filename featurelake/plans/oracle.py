@@ -51,10 +51,16 @@ STREAM_CTE = """stream_rows AS (
   FROM speed WHERE action IN ('view', 'click', 'add_to_cart')
 )"""
 
-COMBINED_CTE = """combined AS (
+COMBINED_CTE = """stream_keyed AS (
+  SELECT 'STREAM_' || event_id AS transaction_id, user_id, product_id, '0.0' AS amount,
+         CASE action WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'add_to_cart' THEN 4 END AS rating,
+         ts AS timestamp
+  FROM speed WHERE action IN ('view', 'click', 'add_to_cart')
+),
+combined AS (
   SELECT transaction_id, user_id, product_id, amount, rating, timestamp FROM raw_tx
   UNION ALL
-  SELECT transaction_id, user_id, product_id, amount, rating, timestamp FROM stream_rows
+  SELECT transaction_id, user_id, product_id, amount, rating, timestamp FROM stream_keyed
 )"""
 
 

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurelake.sources.readers import spread
+
 # Fault-injection rules of the transaction fixture.
 NULL_USER_PARTKEY_MOD = 97       # user_id missing when l_partkey % 97 = 0
 NULL_AMOUNT_ORDERKEY_MOD = 101   # amount missing when l_orderkey % 101 = 0
@@ -35,6 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A large table, spread over the cores if its files split into fewer
+    scan tasks than the cluster can run (see ``readers.spread``)."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _txt(c: Column) -> Column:
     return c.cast("string")
 
@@ -46,9 +54,9 @@ def interactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_with_partkey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = fact_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    od = fact_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     # Both sides are large at scale: a shuffle (sort-merge) join on the order
     # key; AQE turns it into a broadcast only when the runtime size is small,
     # and splits a hot order key through its skew-join handling.
@@ -77,7 +85,7 @@ def _raw_with_partkey(spark: SparkSession, sf_dir: str) -> DataFrame:
 def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click events as they arrive: event_id, user_id, product_id, action,
     timestamp (ISO-8601 text with offset)."""
-    ev = table(spark, sf_dir, "events")
+    ev = fact_table(spark, sf_dir, "events")
     action = F.col("event_type")
     for src, dst in EVENT_ACTION_RENAME.items():
         action = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(action)

@@ -1,0 +1,23 @@
+"""Read-side helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def scan_partitions(df: DataFrame) -> int:
+    """Number of tasks the scan of ``df`` will run (planning only, no job)."""
+    return df.rdd.getNumPartitions()
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its input splits into fewer
+    tasks than the cluster runs at once (few large row groups): otherwise the
+    whole narrow pipeline after the scan runs in those few tasks.  An input
+    that already splits widely — the normal case on a large table — is
+    returned unchanged, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if scan_partitions(df) >= want:
+        return df
+    return df.repartition(want)
