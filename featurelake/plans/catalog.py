@@ -450,3 +450,23 @@ def q_baseline_kde(spark, sf_dir):
 def q_matrix_sample(spark, sf_dir):
     from featurelake.operators import evaluate
     return portable(evaluate.matrix_sample(brand_cells(spark, sf_dir), 15))
+
+
+# -- whole job ---------------------------------------------------------------------
+
+@register("lambda_job")
+def q_lambda_job(spark, sf_dir):
+    """O1-O2: land the batch feed (CSV), the click lines and the product
+    catalog (from the driver tables), run every stage, return the stage log."""
+    from pyspark.sql import functions as F
+    from featurelake.plans.lambda_job import JobConfig, run_lambda_job
+    from featurelake.session import fresh_dir
+    root = fresh_dir(spark, "job")
+    fixtures.interactions_raw(spark, sf_dir).write.option("header", True).csv(f"{root}/landing/transactions")
+    fixtures.event_lines(spark, sf_dir).write.text(f"{root}/landing/events")
+    fixtures.table(spark, sf_dir, "part").write.json(f"{root}/landing/products")
+    conf = JobConfig(lake=f"{root}/lake", transactions_path=f"{root}/landing/transactions",
+                     events_folder=f"{root}/landing/events", products_path=f"{root}/landing/products",
+                     products_multi_line=False, as_of=AS_OF)
+    log = run_lambda_job(spark, conf)
+    return log.filter(F.col("status") == "complete").select("stage", "status", "rows_out")

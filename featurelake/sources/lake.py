@@ -48,9 +48,11 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TX_RAW).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
-    """S3: product metadata JSON documents (schema unknown: inferred per read)."""
-    return spark.read.option("multiLine", True).json(path)
+def read_products(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """S3: product metadata JSON (schema unknown: inferred on read).
+    ``multi_line`` for whole-document files (one array or object per file),
+    off for JSON lines."""
+    return spark.read.option("multiLine", multi_line).json(path)
 
 
 # -- S2: landing ------------------------------------------------------------
