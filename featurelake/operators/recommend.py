@@ -83,13 +83,17 @@ def item_index(cells: DataFrame) -> DataFrame:
     return with_position(items, [F.col("product_id").asc()], name="item_idx")
 
 
-def _sparse_rows(cells: DataFrame, index: DataFrame, n_items: int):
-    from pyspark.mllib.linalg import Vectors
-
-    rows = (cells.join(index, "product_id")
+def user_rows(cells: DataFrame, index: DataFrame) -> DataFrame:
+    """The matrix in row form: one row per user with its (item_idx, rating)
+    cells — bounded by the item count, whatever the user's raw activity."""
+    return (cells.join(index, "product_id")
                  .groupBy("user_id")
                  .agg(F.collect_list(F.struct("item_idx", "rating")).alias("cells")))
 
+
+def _sparse_vectors(rows: DataFrame, n_items: int):
+    from pyspark.mllib.linalg import Vectors
+
     def to_vec(r):
         pairs = sorted((int(c[0]), float(c[1])) for c in r.cells)
         return Vectors.sparse(n_items, [p[0] for p in pairs], [p[1] for p in pairs])
@@ -97,6 +101,29 @@ def _sparse_rows(cells: DataFrame, index: DataFrame, n_items: int):
     return rows.rdd.map(to_vec)
 
 
+def _project_rows(rows: DataFrame, V: np.ndarray) -> DataFrame:
+    """U·Σ = A·V for each user row, in Arrow batches against V (items × k),
+    broadcast once (the same size bound as the V the fit returns)."""
+    spark = rows.sparkSession
+    bv = spark.sparkContext.broadcast(np.ascontiguousarray(V))
+    k = V.shape[1]
+
+    def project(batches):
+        import pandas as pd
+        Vl = bv.value
+        for pdf in batches:
+            out = np.zeros((len(pdf), k))
+            for r, cells in enumerate(pdf["cells"]):
+                if cells is None or len(cells) == 0:
+                    continue
+                idx = np.fromiter((c["item_idx"] for c in cells), dtype=np.int64, count=len(cells))
+                val = np.fromiter((c["rating"] for c in cells), dtype=float, count=len(cells))
+                out[r] = val @ Vl[idx]
+            yield pd.DataFrame({"user_id": pdf["user_id"], "u": list(out)})
+
+    return rows.mapInPandas(project, "user_id string, u array<double>")
+
+
 def fit_svd(cells: DataFrame, k: int = SVD_COMPONENTS) -> SVDModel:
     """R4 + R5: uncentered truncated SVD of the user × item matrix.
 
@@ -112,19 +139,21 @@ def fit_svd(cells: DataFrame, k: int = SVD_COMPONENTS) -> SVDModel:
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     index = item_index(cells).persist(StorageLevel.MEMORY_AND_DISK)
     n_items = index.count()
-    rdd = _sparse_rows(cells, index, n_items).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = user_rows(cells, index).persist(StorageLevel.MEMORY_AND_DISK)
+    rdd = _sparse_vectors(rows, n_items).persist(StorageLevel.MEMORY_AND_DISK)
     n_users = rdd.count()
     k = max(1, min(k, n_items, n_users))
     svd = RowMatrix(rdd, numRows=n_users, numCols=n_items).computeSVD(k, computeU=False)
     s = [float(x) for x in svd.s.toArray()]
-    V = svd.V.toArray()                       # n_items × k' (k' may be < k if rank-deficient)
+    V = _fix_signs(svd.V.toArray())           # n_items × k' (k' may be < k if rank-deficient)
     rdd.unpersist()
-    V = _fix_signs(V)
     vf = spark.createDataFrame(
         [(int(i), [float(x) for x in V[i]]) for i in range(V.shape[0])],
         T.StructType([T.StructField("item_idx", T.LongType()), T.StructField("v", FACTOR_T)]))
-    item_factors = index.join(vf, "item_idx").select("product_id", "item_idx", "v")
-    user_scores = project_users(cells, item_factors, len(s))
+    # the model's factor tables are read by every scorer: keep them
+    item_factors = (index.join(vf, "item_idx").select("product_id", "item_idx", "v")
+                         .persist(StorageLevel.MEMORY_AND_DISK))
+    user_scores = _project_rows(rows, V).persist(StorageLevel.MEMORY_AND_DISK)
     return SVDModel(item_factors, user_scores, s, n_users, n_items)
 
 
@@ -210,6 +239,16 @@ def _topk_block_fn(block_ids: np.ndarray, block_v: np.ndarray, k: int, exclude_s
                         S[r, mask] = -np.inf
             nb = S.shape[1]
             kk = min(k, nb)
+            if nb <= 4096:
+                # stable sort of -score keeps product_id order among ties
+                order = np.argsort(-S, axis=1, kind="stable")[:, :kk]
+                top = np.take_along_axis(S, order, axis=1)
+                keep = np.isfinite(top).ravel()
+                rows_idx = np.repeat(np.arange(S.shape[0]), kk)[keep]
+                yield pd.DataFrame({"user_id": pdf["user_id"].to_numpy()[rows_idx],
+                                    "product_id": block_ids[order.ravel()[keep]],
+                                    "score": top.ravel()[keep]})
+                continue
             kth = np.partition(S, nb - kk, axis=1)[:, nb - kk]
             users, items, scores = [], [], []
             for r in range(S.shape[0]):

@@ -96,14 +96,14 @@ def q_landed_transactions(spark, sf_dir):
 
 @register("speed_table", O.SPEED_TABLE_SQL)
 def q_speed_table(spark, sf_dir):
-    """Event lines streamed (three micro-batches) into the speed table."""
+    """Event lines (three files) streamed into the speed table."""
     from featurelake.session import fresh_dir
     from featurelake.sources import lake
     from featurelake.streaming import speed_layer
     root = fresh_dir(spark, "speed")
     fixtures.event_lines(spark, sf_dir).repartition(3).write.text(f"{root}/incoming")
     speed_layer.ingest_folder(spark, f"{root}/incoming", f"{root}/clicks", f"{root}/dead",
-                              f"{root}/_checkpoint", max_files_per_trigger=1)
+                              f"{root}/_checkpoint")
     return lake.read_speed(spark, f"{root}/clicks").select("event_id", "user_id", "product_id", "action", "ts")
 
 
@@ -320,8 +320,9 @@ def item_mean_model(cells):
     index = recommend.item_index(cells)
     items = index.join(means, "product_id").select(
         "product_id", "item_idx", F.array(F.col("m")).alias("v"))
-    users = cells.select("user_id").distinct().select("user_id", F.array(F.lit(1.0)).alias("u"))
-    n_users, n_items = users.count(), index.count()
+    users = materialize(cells.select("user_id").distinct().select("user_id", F.array(F.lit(1.0)).alias("u")))
+    items = materialize(items)
+    n_users, n_items = users.count(), items.count()
     return recommend.SVDModel(items, users, [1.0], n_users, n_items)
 
 

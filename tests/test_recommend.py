@@ -122,3 +122,21 @@ def test_matrix_sample_and_split(spark):
     train, test = recommend.split(cells, 0.2, 42)
     assert train.count() + test.count() == cells.count()
     assert sorted(test.collect()) == sorted(recommend.split(cells, 0.2, 42)[1].collect())
+
+
+def test_topk_large_block_exact_ties(spark):
+    # > 4096 items in one block: the threshold path, with deliberate ties
+    n_items, k = 5000, 5
+    rng = np.random.default_rng(1)
+    vals = np.round(rng.random(n_items), 2)            # many exact ties
+    items = spark.createDataFrame([(f"P{i:05d}", i, [float(vals[i])]) for i in range(n_items)],
+                                  "product_id string, item_idx long, v array<double>")
+    users = spark.createDataFrame([("U1", [1.0]), ("U2", [-1.0])], "user_id string, u array<double>")
+    model = recommend.SVDModel(items, users, [1.0], 2, n_items)
+    got = {}
+    for r in recommend.recommend(model, k).orderBy("user_id", "rank").collect():
+        got.setdefault(r.user_id, []).append(r.product_id)
+    ids = [f"P{i:05d}" for i in range(n_items)]
+    for uid, sign in (("U1", 1.0), ("U2", -1.0)):
+        ref = sorted(range(n_items), key=lambda i: (-sign * vals[i], ids[i]))[:k]
+        assert got[uid] == [ids[i] for i in ref]
