@@ -47,8 +47,9 @@ def combined(spark: SparkSession, sf_dir: str, id_mode: str = "key") -> DataFram
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the raw input is read twice (rating mean, then the rows): keep it
-    return cleaning.prepare(materialize(combined(spark, sf_dir)))
+    # the mean subquery and the rows share the scan's exchanges (exchange
+    # reuse), which is cheaper here than caching the whole raw table
+    return cleaning.prepare(combined(spark, sf_dir))
 
 
 # -- features ---------------------------------------------------------------
@@ -159,7 +160,7 @@ def q_dq_failures(spark, sf_dir):
 @register("dq_summary", O.DQ_SUMMARY_SQL)
 def q_dq_summary(spark, sf_dir):
     from featurelake.operators import quality
-    summary, _ = quality.dq_report(materialize(combined(spark, sf_dir)))
+    summary, _ = quality.dq_report(combined(spark, sf_dir))
     return summary
 
 
