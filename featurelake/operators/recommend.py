@@ -42,12 +42,17 @@ def observed_cells(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("rating") > 0)
 
 
-def user_item_matrix(cells: DataFrame, items: list[str] | None = None) -> DataFrame:
+def user_item_matrix(cells: DataFrame, items: list[str] | None = None,
+                     max_columns: int = 10_000) -> DataFrame:
     """R2: wide matrix (one column per item, 0 = unseen) for small item sets.
     ``items`` fixes the column list; otherwise the distinct items are listed
-    first (a bounded driver list — use only when the catalog is small)."""
+    first, refusing more than ``max_columns`` (the row form of the matrix for
+    any catalog size is ``user_rows``)."""
     if items is None:
-        items = sorted(r[0] for r in cells.select("product_id").distinct().collect())
+        listed = cells.select("product_id").distinct().limit(max_columns + 1).collect()
+        if len(listed) > max_columns:
+            raise ValueError(f"more than {max_columns} items: use user_rows() (sparse rows) instead")
+        items = sorted(r[0] for r in listed)
     wide = cells.groupBy("user_id").pivot("product_id", items).agg(F.first("rating"))
     return wide.na.fill(0.0)
 
