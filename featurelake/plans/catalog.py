@@ -191,9 +191,6 @@ def _feature_tables(spark, sf_dir):
             features.interaction_features(p, as_of=AS_OF))
 
 
-_STAMP_COLS = [("updated_at", "s"), ("version", "s")]
-
-
 @register("feature_store_users", O.q(
     f"SELECT {O.portable_select(O.USER_FEATURE_COLS)}, {O.STAMP_SQL} AS updated_at, "
     f"'v1.0_combined' AS version FROM user_feat", O.USER_FEATURES_CTE))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,15 +59,3 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the scratch root (never reused, never cleared)."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_session_tz_utc(spark: SparkSession) -> None:
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

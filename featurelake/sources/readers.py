@@ -4,20 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# A scan task reading less than this does not pay for an extra exchange.
+MIN_BYTES_PER_TASK = 4 * 1024 * 1024
+
 
 def scan_partitions(df: DataFrame) -> int:
     """Number of tasks the scan of ``df`` will run (planning only, no job)."""
     return df.rdd.getNumPartitions()
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files behind ``df`` (file-system metadata only)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread(df: DataFrame, min_partitions: int | None = None,
+           min_bytes_per_task: int = MIN_BYTES_PER_TASK) -> DataFrame:
     """Round-robin ``df`` over the cluster when its input splits into fewer
-    tasks than the cluster runs at once (few large row groups): otherwise the
-    whole narrow pipeline after the scan runs in those few tasks.  An input
-    that already splits widely — the normal case on a large table — is
-    returned unchanged, so no shuffle is added at scale."""
+    tasks than the cluster runs at once *and* those tasks would each read a
+    lot (few large row groups): otherwise the whole narrow pipeline after the
+    scan runs in those few tasks.  An input that already splits widely — the
+    normal case on a large table — or a small one is returned unchanged."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if scan_partitions(df) >= want:
+    have = scan_partitions(df)
+    if have >= want:
+        return df
+    if input_bytes(df) < min_bytes_per_task * have:
         return df
     return df.repartition(want)
