@@ -24,6 +24,8 @@ from featurelake.schemas import RELEVANCE_THRESHOLD, SVD_COMPONENTS, TOP_K
 FACTOR_T = T.ArrayType(T.DoubleType())
 # Largest block of item factors shipped to the scoring tasks at once.
 DEFAULT_BLOCK_BYTES = 64 * 1024 * 1024
+# Largest V broadcast for the user projection; beyond it the projection is a join.
+MAX_BROADCAST_V_BYTES = 256 * 1024 * 1024
 
 
 # -- R1 / R2 / R7: cells and the matrix --------------------------------------
@@ -141,7 +143,9 @@ def fit_svd(cells: DataFrame, k: int = SVD_COMPONENTS) -> SVDModel:
     from pyspark.mllib.linalg.distributed import RowMatrix
 
     spark = cells.sparkSession
-    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+    we_cached = not cells.storageLevel.useMemory and not cells.storageLevel.useDisk
+    if we_cached:
+        cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     index = item_index(cells).persist(StorageLevel.MEMORY_AND_DISK)
     n_items = index.count()
     rows = user_rows(cells, index).persist(StorageLevel.MEMORY_AND_DISK)
@@ -158,7 +162,15 @@ def fit_svd(cells: DataFrame, k: int = SVD_COMPONENTS) -> SVDModel:
     # the model's factor tables are read by every scorer: keep them
     item_factors = (index.join(vf, "item_idx").select("product_id", "item_idx", "v")
                          .persist(StorageLevel.MEMORY_AND_DISK))
-    user_scores = _project_rows(rows, V).persist(StorageLevel.MEMORY_AND_DISK)
+    item_factors.count()
+    if V.nbytes <= MAX_BROADCAST_V_BYTES:
+        user_scores = _project_rows(rows, V)
+    else:
+        user_scores = project_users(cells, item_factors, len(s))
+    user_scores = user_scores.persist(StorageLevel.MEMORY_AND_DISK)
+    user_scores.count()
+    for df in (rows, index) + ((cells,) if we_cached else ()):
+        df.unpersist()
     return SVDModel(item_factors, user_scores, s, n_users, n_items)
 
 
@@ -228,10 +240,13 @@ def explained_variance(cells: DataFrame, model: SVDModel) -> DataFrame:
 
 # -- R11: top-K ------------------------------------------------------------------
 
-def _topk_block_fn(block_ids: np.ndarray, block_v: np.ndarray, k: int, exclude_seen: bool):
+def _topk_block_fn(block, k: int, exclude_seen: bool):
+    """``block`` is a broadcast of (product ids sorted, V rows): shipped once
+    per executor, not inside every task's closure."""
     import pandas as pd
 
     def score(batches):
+        block_ids, block_v = block.value
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -299,7 +314,8 @@ def recommend(model: SVDModel, k: int = TOP_K, exclude_seen: bool = False,
                     .orderBy("product_id").select("product_id", "v").collect())
         ids = np.array([r[0] for r in blk], dtype=object)
         V = np.array([r[1] for r in blk], dtype=float).reshape(len(blk), model.k)
-        outs.append(u.select("user_id", "u", "seen").mapInPandas(_topk_block_fn(ids, V, k, exclude_seen), schema))
+        bc = spark.sparkContext.broadcast((ids, V))
+        outs.append(u.select("user_id", "u", "seen").mapInPandas(_topk_block_fn(bc, k, exclude_seen), schema))
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)

@@ -140,3 +140,15 @@ def test_topk_large_block_exact_ties(spark):
     for uid, sign in (("U1", 1.0), ("U2", -1.0)):
         ref = sorted(range(n_items), key=lambda i: (-sign * vals[i], ids[i]))[:k]
         assert got[uid] == [ids[i] for i in ref]
+
+
+def test_projection_without_broadcast_matches(spark, monkeypatch):
+    cells, rows = _cells(spark, seed=9, users=15, items=7, density=0.6)
+    a = recommend.fit_svd(cells, k=3)
+    monkeypatch.setattr(recommend, "MAX_BROADCAST_V_BYTES", 0)
+    b = recommend.fit_svd(cells, k=3)
+    ua = {r.user_id: r.u for r in a.user_scores.collect()}
+    ub = {r.user_id: r.u for r in b.user_scores.collect()}
+    assert ua.keys() == ub.keys()
+    for key in ua:
+        assert np.allclose(ua[key], ub[key], atol=1e-10)
