@@ -22,6 +22,31 @@ BASE_CONF = {
 }
 
 
+# Starting point for a large cluster (~1000 executors, ~100 TB input).  AQE
+# coalesces the initial shuffle partitions down to the advisory size and
+# splits skewed join partitions; scans read ~512 MB splits.  The checkpoint
+# folder must be shared storage (it also holds the engine's scratch tables).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+}
+
+
+def cluster_conf(checkpoint_dir: str) -> dict[str, str]:
+    """Settings for a large cluster; ``checkpoint_dir`` on shared storage."""
+    return {**BASE_CONF, **CLUSTER_CONF, "spark.checkpoint.dir": checkpoint_dir}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "featurelake", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster, pass the cluster master and a
