@@ -27,15 +27,16 @@ def input_bytes(df: DataFrame) -> int:
 
 def spread(df: DataFrame, min_partitions: int | None = None,
            min_bytes_per_task: int = MIN_BYTES_PER_TASK) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its input splits into fewer
-    tasks than the cluster runs at once *and* those tasks would each read a
-    lot (few large row groups): otherwise the whole narrow pipeline after the
-    scan runs in those few tasks.  An input that already splits widely — the
-    normal case on a large table — or a small one is returned unchanged."""
+    """Round-robin ``df`` over the cluster when its input splits into far
+    fewer tasks than the cluster runs at once (under a quarter) *and* those
+    tasks would each read a lot (few large row groups): otherwise the whole
+    narrow pipeline after the scan runs in those few tasks.  An input that
+    already splits widely — the normal case on a large table — or a small one
+    is returned unchanged."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     have = scan_partitions(df)
-    if have >= want:
+    if have * 4 > want:          # uses at least a quarter of the cores: leave it
         return df
     if input_bytes(df) < min_bytes_per_task * have:
         return df
