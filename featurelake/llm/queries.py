@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featurelake.llm import sharding
+from featurelake.llm import oracle, sharding, shingle_join
 from featurelake.llm.common import table
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.jaccard_components(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op9_sharding": op9_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_ngram_jaccard": oracle.JACCARD,
+}
