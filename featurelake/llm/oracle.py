@@ -21,3 +21,25 @@ reach(doc_id, r) AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, min(reach.r)) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY 1, 2
 """
+
+CONTAMINATION = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[s:s + 9], ' ') AS win
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS s FROM i WHERE len(ws) > 0)),
+places AS (
+  SELECT doc_id, n, s, array_to_string(ws[s:s + n - 1], ' ') AS win
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s
+        FROM d, (SELECT DISTINCT n FROM wins) WHERE len(ws) >= n)),
+hits AS (SELECT doc_id, s, n, item_id FROM places JOIN wins USING (n, win)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hits GROUP BY 1)
+SELECT doc_id, coalesce(len(ws), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
