@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featurelake.llm import oracle, sharding, shingle_join
+from featurelake.llm import decontaminate, oracle, pii, sharding, shingle_join
 from featurelake.llm.common import table
 
 
@@ -15,15 +15,26 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op6_decontamination": op6_decontamination,
+    "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
 }
 
 ORACLE: dict[str, str] = {
     "op4_ngram_jaccard": oracle.JACCARD,
+    "op6_decontamination": oracle.CONTAMINATION,
 }
