@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featurelake.llm import decontaminate, oracle, pii, sharding, shingle_join
+from featurelake.llm import decontaminate, oracle, pii, sharding, shingle_join, toxicity
 from featurelake.llm.common import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", "evidence", "similarity")
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.jaccard_components(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id")
@@ -28,6 +33,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_decontamination": op6_decontamination,
     "op8_pii": op8_pii,
