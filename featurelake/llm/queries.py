@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from featurelake.llm import decontaminate, oracle, pii, sharding, shingle_join, toxicity
+from featurelake.llm import decontaminate, oracle, pieces, pii, sharding, shingle_join, toxicity
 from featurelake.llm.common import table
 
 
@@ -15,6 +16,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted", "evidence", "similarity")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "score", "round_trip")
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.jaccard_components(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id")
@@ -34,6 +40,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_decontamination": op6_decontamination,
     "op8_pii": op8_pii,
