@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelake.llm import decontaminate, oracle, pieces, pii, sharding, shingle_join, toxicity
+from featurelake.llm import cover_tree, decontaminate, oracle, pieces, pii, secrets, sharding, shingle_join, toxicity
 from featurelake.llm.common import table
 
 
@@ -26,10 +26,18 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("th")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
@@ -42,7 +50,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
 }
