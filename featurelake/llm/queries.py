@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelake.llm import cover_tree, decontaminate, oracle, pieces, pii, secrets, sharding, shingle_join, toxicity
+from featurelake.llm import cover_tree, decontaminate, oracle, pieces, pii, secrets, sharding, shingle_join, toxicity, wrappers
 from featurelake.llm.common import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "held_out", "score", "predicted", "evidence", "similarity")
@@ -47,6 +51,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_ngram_jaccard": op4_ngram_jaccard,
