@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelake.llm import cover_tree, decontaminate, oracle, pieces, pii, secrets, sharding, shingle_join, toxicity, wrappers
+from featurelake.llm import cover_tree, decontaminate, oracle, ordinal, pieces, pii, secrets, sharding, shingle_join, toxicity, wrappers
 from featurelake.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("th")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
