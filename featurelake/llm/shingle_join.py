@@ -24,19 +24,24 @@ needed for components; no link between components is missed.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurelake.llm.common import map_rows, stored
 from featurelake.llm.components import components
+from featurelake.llm.decontaminate import checked_broadcast
 
 THRESHOLD = 85          # percent of the union
 WORDS = 4
 SKETCH_BITS = 21        # counters of the frequency sketch: 2**21, whatever the corpus
 SKETCH_BLOCKS = 32
 LEAD_KEYS = 3           # keys a class and order give in step 2
+BLOCK = 64              # classes in a block of the verification
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 _U = np.uint64
@@ -76,6 +81,40 @@ def shingles(text: bytes | None, hashes: WordHashes, k: int = WORDS) -> np.ndarr
     return np.unique(_mix(h, 0))
 
 
+def batch_shingles(rows, hashes: WordHashes, k: int = WORDS, limit: int = 200_000):
+    """(row, ``shingles`` of its last field) for many rows at a time: the
+    hashes of all windows of a batch are computed together."""
+    held, texts, size = [], [], 0
+
+    def flush():
+        flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(texts)), _U, size)
+        n = max(0, size - k + 1)
+        h = np.full(n, _U(k))
+        for i in range(k):
+            h = h * _U(0x9DDFEA08EB382D69) + flat[i:i + n]
+            h ^= h >> _U(29)
+        h = _mix(h, 0)
+        at = 0
+        for row, words in zip(held, texts):
+            if len(words) >= k:
+                s = np.sort(h[at:at + len(words) - k + 1])
+                if len(s) > 1:
+                    s = s[np.concatenate(([True], s[1:] != s[:-1]))]
+            else:
+                s = shingles(row[-1], hashes, k)
+            at += len(words)
+            yield row, s
+
+    for row in rows:
+        held.append(row)
+        texts.append(row[-1].lower().split() if row[-1] else ())
+        size += len(texts[-1])
+        if size > limit:
+            yield from flush()
+            held, texts, size = [], [], 0
+    yield from flush()
+
+
 def need(n, m, percent: int = THRESHOLD):
     """Smallest overlap of sets of n and m tokens that reaches the threshold."""
     return -(-percent * (n + m) // (100 + percent))
@@ -97,8 +136,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(rows):
         hashes, counts, held, waiting = WordHashes(), np.zeros(size, np.uint32), [], 0
-        for doc_id, th, text in rows:
-            s = shingles(text, hashes)
+        for (doc_id, th, _), s in batch_shingles(rows, hashes):
             held.append(s)
             waiting += len(s)
             if waiting > 1_000_000:
@@ -146,15 +184,17 @@ def sketch_classes(parts: DataFrame) -> bytes:
 
 def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes) -> DataFrame:
     """(cid, n, p0, p1): the prefix of each class under both orders, as
-    ascending order keys (frequency class in the high bits, then the hash)."""
+    ascending order keys (frequency class in the high bits, then the hash):
+    8 bytes a key under the first order, which is joined on; 4 under the
+    second, which only filters, so that a clash of keys can only let a pair
+    pass."""
     freq = docs.sparkSession.sparkContext.broadcast(frequency)  # 2 MB, fixed
 
     def run(rows):
         hashes, seen = WordHashes(), set()
         level = np.frombuffer(freq.value, np.uint8).astype(_U) << _U(58)
         mask = _U((1 << SKETCH_BITS) - 1)
-        for _, _, text in rows:
-            s = shingles(text, hashes)
+        for _, s in batch_shingles(rows, hashes):
             if not len(s):
                 continue
             sig = xxhash.xxh3_128_digest(s.tobytes())
@@ -165,26 +205,53 @@ def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes) -> DataFrame
             seen.add(sig)
             high = level[(s & mask).astype(np.int64)]
             p = prefix_length(len(s))
-            out = []
-            for seed in ORDERS:
-                key = high | (_mix(s, seed) >> _U(6))
-                out.append(np.sort(np.partition(key, p - 1)[:p]).astype(np.int64).tolist())
-            yield sig, out[0], out[1]
+            first, second = (np.sort(np.partition(high | (_mix(s, seed) >> _U(6)), p - 1)[:p]) for seed in ORDERS)
+            yield sig, first.tobytes(), (second >> _U(31)).astype(np.uint32).tobytes()
 
-    found = map_rows(_texts(docs), run, "sig binary, p0 array<long>, p1 array<long>")
+    found = map_rows(_texts(docs), run, "sig binary, p0 binary, p1 binary")
     return found.join(classes.select("sig", "cid", "n"), "sig").groupBy("cid").agg(
         F.first("n").alias("n"), F.first("p0").alias("p0"), F.first("p1").alias("p1"))
 
 
+def lead_keys(prefix: DataFrame) -> DataFrame:
+    """(key, cid, n): the first LEAD_KEYS shingles of each order."""
+    def run(rows):
+        for cid, n, p0, p1 in rows:
+            for order, p in enumerate((np.frombuffer(p0, np.int64), np.frombuffer(p1, np.uint32))):
+                for key in p[:LEAD_KEYS].tolist():
+                    yield key, order, cid, n
+
+    return map_rows(prefix.select("cid", "n", "p0", "p1"), run, "key long, order int, cid long, n long")
+
+
+def prefix_entries(known: DataFrame) -> DataFrame:
+    """(token, cid, root, np): the first order's prefix, a row a shingle;
+    ``np`` packs the size of the set and the rank in the prefix."""
+    def run(batches):
+        for b in batches:
+            parts = b.column("p0").to_pylist()
+            lens = np.array([len(x) // 8 for x in parts], np.int64)
+            if not lens.sum():
+                continue
+            rank = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
+            cid, root, n = (np.repeat(b.column(c).to_numpy(), lens) for c in ("cid", "root", "n"))
+            full = pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                np.frombuffer(b"".join(parts), np.int64), cid, root, (n << 32) | rank)], names=["token", "cid", "root", "np"])
+            for at in range(0, full.num_rows, 100_000):
+                yield full.slice(at, 100_000)
+
+    return known.select("cid", "root", "n", "p0").mapInArrow(run, "token long, cid long, root long, np long")
+
+
 def _allowed(rows):
     """Step 4 for (a, b, n, p0, p1, m, q0, q1)."""
     for a, b, n, p0, p1, m, q0, q1 in rows:
         alpha = need(n, m)
-        for p, q in ((p0, q0), (p1, q1)):
-            p, q = np.array(p), np.array(q)
+        for p, q, kind in ((p0, q0, np.int64), (p1, q1, np.uint32)):
+            p, q = np.frombuffer(p, kind), np.frombuffer(q, kind)
             cut = min(p[-1], q[-1])
             i, j = np.searchsorted(p, cut, "right"), np.searchsorted(q, cut, "right")
-            common = len(np.intersect1d(p[:i], q[:j], assume_unique=True))
+            common = np.isin(p[:i], q[:j]).sum()
             if not common or common + min(n - i, m - j) < alpha:
                 break
         else:
@@ -192,32 +259,58 @@ def _allowed(rows):
 
 
 def verified(docs: DataFrame, classes: DataFrame, prefix: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) of class ids that link."""
+    """Those of ``pairs`` (a, b) of class ids that link.
+
+    The sets of the pairs that pass the prefix bounds are compared in blocks:
+    the classes of a connected group of pairs are dealt into blocks of about
+    BLOCK, and the pairs of two blocks meet in one task with the sets of
+    both, so a set travels once for each block and not for each pair.
+    """
     left = prefix.select(F.col("cid").alias("a"), "n", "p0", "p1")
     right = prefix.select(F.col("cid").alias("b"), F.col("n").alias("m"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "p0", "p1", "m", "q0", "q1")
+    # only the prefixes of pairs are moved
+    right = right.join(checked_broadcast(pairs.select("b").distinct()), "b", "left_semi")
+    joined = left.join(checked_broadcast(pairs), "a").join(right, "b").select("a", "b", "n", "p0", "p1", "m", "q0", "q1")
     some = stored(map_rows(joined, _allowed, "a long, b long"), "shingle-pairs")
-    wanted = some.select(F.col("a").alias("cid")).union(some.select("b")).distinct().join(classes, "cid").select(
-        "cid", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("th"))
+
+    group = components(some)
+    sizes = group.groupBy("root").agg(F.count("*").alias("size"))
+    spread = max(1, group.count() // (4 * BLOCK))
+    placed = stored(group.join(sizes, "root").select(
+        F.col("node").alias("cid"), F.when(F.col("size") <= BLOCK, F.pmod(F.xxhash64("root"), F.lit(spread))).otherwise(F.col("root")).alias("g"),
+        F.when(F.col("size") <= BLOCK, 0).otherwise(F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK))).alias("i")), "shingle-blocks")
+    tasks = stored(some.join(placed.select(F.col("cid").alias("a"), "g", F.col("i").alias("x")), "a").join(
+        placed.select(F.col("cid").alias("b"), F.col("i").alias("y")), "b").select(
+        "g", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "a", "b"), "shingle-tasks")
+    blocks = tasks.select(F.col("g").alias("bg"), F.col("i").alias("bi"), F.col("j").alias("bj")).distinct()
+    sent = blocks.select("*", F.explode(F.array_distinct(F.array("bi", "bj"))).alias("own")).join(
+        placed.select("cid", F.col("g").alias("bg"), F.col("i").alias("own")), ["bg", "own"]).select("bg", "bi", "bj", "cid")
+
+    wanted = placed.select("cid").join(classes, "cid").select("cid", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("th"))
     texts = _texts(docs)
+    wanted = checked_broadcast(stored(wanted, "shingle-wanted"))
     texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep_id"]) & (texts["th"] == wanted["th"])).select("cid", "text")
 
     def sets(rows):
-        hashes = WordHashes()
-        for cid, text in rows:
-            yield cid, shingles(text, hashes).tobytes()
+        for (cid, _), s in batch_shingles(rows, WordHashes()):
+            yield cid, s.tobytes()
+
+    found = map_rows(texts, sets, "cid long, s binary").groupBy("cid").agg(F.first("s").alias("s"))
+    sent = sent.join(found, "cid")
+
+    def exact(pairs, sets):
+        import pandas as pd
 
-    def exact(rows):
-        for a, b, x, y in rows:
-            x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
+        by = {c: np.frombuffer(s, _U) for c, s in zip(sets["cid"], sets["s"])}
+        out = []
+        for a, b in zip(pairs["a"], pairs["b"]):
+            x, y = by[a], by[b]
             common = len(np.intersect1d(x, y, assume_unique=True))
             if 100 * common >= THRESHOLD * (len(x) + len(y) - common):
-                yield a, b
+                out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    found = stored(map_rows(texts, sets, "cid long, s binary").groupBy("cid").agg(F.first("s").alias("s")), "shingle-sets")
-    full = some.join(found.select(F.col("cid").alias("a"), F.col("s").alias("x")), "a").join(
-        found.select(F.col("cid").alias("b"), F.col("s").alias("y")), "b").select("a", "b", "x", "y")
-    return stored(map_rows(full, exact, "a long, b long"), "shingle-links")
+    return stored(tasks.groupBy("g", "i", "j").cogroup(sent.groupBy("bg", "bi", "bj")).applyInPandas(exact, "a long, b long"), "shingle-links")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -236,21 +329,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ).withColumn("cid", F.monotonically_increasing_id()), "shingle-classes")
     prefix = stored(prefixes(docs, classes, sketch_classes(parts.filter("kind = 1"))), "shingle-prefixes")
 
-    keys = F.flatten(F.array(*[F.transform(F.slice(p, 1, LEAD_KEYS), lambda x, s=seed: F.xxhash64(x, F.lit(s)))
-                               for p, seed in (("p0", 0), ("p1", 1))]))
-    keyed = prefix.select(F.explode(keys).alias("key"), "cid", "n")
-    lead = keyed.groupBy("key").agg(F.min(F.struct("n", "cid")).alias("lead"), F.count("*").alias("size")).filter(
-        "size > 1").select("key", F.col("lead.cid").alias("a"), F.col("lead.n").alias("m"))
-    first = stored(keyed.join(lead, "key").filter((F.col("cid") != F.col("a")) & (100 * F.col("m") >= THRESHOLD * F.col("n"))).select(
+    keyed = lead_keys(prefix)
+    lead = keyed.groupBy("key", "order").agg(F.min(F.struct("n", "cid")).alias("lead"), F.count("*").alias("size")).filter(
+        "size > 1").select("key", "order", F.col("lead.cid").alias("a"), F.col("lead.n").alias("m"))
+    first = stored(keyed.join(lead, ["key", "order"]).filter((F.col("cid") != F.col("a")) & (100 * F.col("m") >= THRESHOLD * F.col("n"))).select(
         "a", F.col("cid").alias("b")).distinct(), "shingle-leaders")
     links = verified(docs, classes, prefix, first)
     roots = components(links)
 
     known = stored(prefix.join(roots, prefix["cid"] == roots["node"], "left").select(
         "cid", "n", "p0", F.coalesce("root", "cid").alias("root")), "shingle-roots")
-    # the rank in the prefix and the size, packed to keep the exchange narrow
-    entries = known.select("cid", "root", "n", F.posexplode("p0")).select(
-        F.col("col").alias("token"), "cid", "root", F.shiftleft("n", 32).bitwiseOR(F.col("pos").cast("long")).alias("np"))
+    entries = prefix_entries(known)
     mixed = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
     entries = stored(entries.join(mixed, "token"), "shingle-entries")
     a = entries.select("token", *[F.col(c).alias(f"a_{c}") for c in ("cid", "root", "np")])
