@@ -142,6 +142,17 @@ def _shape(e) -> str:
     return " ".join(_shape(x) for x in e[1])
 
 
+def _deep(e) -> str:
+    """Elements of a page repeat each other if also the elements in them do;
+    their texts do not matter."""
+    if e[0] == "t":
+        return "#"
+    if e[0] == "n":
+        inside = [_deep(x) for x in e[3] if x[0] != "t"]
+        return f"{_shape(e)}({' '.join(inside)})" if inside else _shape(e)
+    return " ".join(_deep(x) for x in e[1])
+
+
 def _blend(a, b):
     """One expression for two of the same shape."""
     if a[0] == "t":
@@ -165,7 +176,7 @@ def fold(items: list, blend=_same_page) -> list:
     out = list(items)
     for period in range(1, PERIOD + 1):
         at, new = 0, []
-        shapes = [_shape(e) for e in out]
+        shapes = [_deep(e) for e in out]
         while at < len(out):
             end = at + period
             while end + period <= len(out) and shapes[at:at + period] == shapes[end:end + period]:
