@@ -25,6 +25,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers or short arrays that are broadcast at most.
+BROADCAST_ROWS = 200_000
+
+
+def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint if a count proves the table small, else the table,
+    which is then joined by shuffling."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def lower_ascii(text):
     """A-Z to a-z, every other character untouched.  ``lower`` has a fast
     path for ASCII text, where both agree."""
@@ -32,9 +42,30 @@ def lower_ascii(text):
         F.translate(text, UPPER, LOWER))
 
 
-def row_key(df: DataFrame, *columns: str):
-    """Hash that tells apart rows which share an id (or have none)."""
-    return F.xxhash64(*[df[c] for c in columns])
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_keys(rows: DataFrame) -> DataFrame:
+    """(id, th) of rows (doc_id, th, ...): the hashed id, which is never null,
+    and the hash of the text; together they tell apart rows of one id."""
+    return rows.select(F.xxhash64("doc_id").alias("id"), F.col("th"))
+
+
+def with_row_keys(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with the columns of ``row_keys`` under free names."""
+    names = [unused(docs, "_row_id"), unused(docs, "_row_th")]
+    return docs.withColumns(dict(zip(names, (F.xxhash64("doc_id"), F.xxhash64("text"))))), names
+
+
+def rows_in(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` filtered by ``row_keys`` rows: ``left_semi`` or ``left_anti``."""
+    keyed, names = with_row_keys(docs)
+    return keyed.join(keys.toDF(*names), names, how).drop(*names)
 
 
 def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], schema) -> DataFrame:

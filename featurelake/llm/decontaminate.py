@@ -18,12 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from featurelake.llm.common import lower_ascii, stored
+from featurelake.llm.common import checked_broadcast, lower_ascii, row_keys, rows_in, stored
 
 WINDOW = 10
-#: Windows, or distinct words of them, that are broadcast at most; larger
-#: benchmarks are joined by shuffling.
-BROADCAST_ROWS = 200_000
 
 
 def words(text):
@@ -42,11 +39,6 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
         "length", F.size("win"))
 
 
-def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint if a count proves the table small, else the table."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def anchored(docs: DataFrame, wins: DataFrame) -> DataFrame:
     """Each window with its rarest word by corpus count, and where the word
     first stands in the window (``offset``, from 0)."""
@@ -104,7 +96,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window."""
-    bad = stored(occurrences(docs, benchmark, size).select(
-        F.xxhash64("doc_id").alias("_id"), F.col("th").alias("_th")).distinct(), "contaminated")
-    return docs.withColumns({"_id": F.xxhash64("doc_id"), "_th": F.xxhash64("text")}).join(
-        checked_broadcast(bad), ["_id", "_th"], "left_anti").drop("_id", "_th")
+    bad = stored(row_keys(occurrences(docs, benchmark, size)).distinct(), "contaminated")
+    return rows_in(docs, checked_broadcast(bad), "left_anti")

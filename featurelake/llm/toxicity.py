@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelake.llm.common import map_rows, stored
+from featurelake.llm.common import checked_broadcast, map_rows, row_keys, rows_in, stored
 
 MAX_EXAMPLES = 12_000    # labelled rows that are fitted on, at most
 MAX_TERMS = 4_000        # vocabulary
@@ -211,7 +211,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: i
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows predicted toxic."""
-    bad = stored(toxicity(docs, labels).filter("predicted = 1").select(
-        F.xxhash64("doc_id").alias("_id"), F.col("th").alias("_th")).distinct(), "toxic-found")
-    return docs.withColumns({"_id": F.xxhash64("doc_id"), "_th": F.xxhash64("text")}).join(
-        bad, ["_id", "_th"], "left_anti").drop("_id", "_th")
+    bad = stored(row_keys(toxicity(docs, labels).filter("predicted = 1")).distinct(), "toxic-found")
+    return rows_in(docs, checked_broadcast(bad), "left_anti")
