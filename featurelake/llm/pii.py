@@ -23,8 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelake.llm.common import stored
-from featurelake.llm.decontaminate import checked_broadcast
+from featurelake.llm.common import checked_broadcast, stored, unused, with_row_keys
 
 # Possessive and anchored forms of the fixed patterns: the same matches
 # without retries inside a run that has failed, hence in linear time.
@@ -133,15 +132,19 @@ def disclosing(docs: DataFrame, words_near: DataFrame, entities: DataFrame,
     (doc, kind, value) rows.  Counts cover all documents."""
     together = words_near.select("doc", "kind", "value", "term").distinct().groupBy("kind", "value", "term").agg(
         F.count("*").alias("d_te")).filter(F.col("d_te") >= support)
-    together = stored(together, "pii-together")
+    n = docs.count()
+    d_e = entities.distinct().groupBy("kind", "value").agg(F.count("*").alias("d_e"))
+    # the threshold as a bound on d_t, which is at least the documents that have the term near any entity
+    least = words_near.select("doc", "term").distinct().groupBy("term").agg(F.count("*").alias("least"))
+    together = stored(together.join(d_e, ["kind", "value"]).withColumn(
+        "most", F.col("d_te") * F.pow(n / F.col("d_e"), F.lit(1 - threshold))).join(least, "term").filter(
+        (F.col("least") <= F.col("most") + 0.5) & (F.col("d_e") < n)).drop("least", "most"), "pii-together")
     terms = checked_broadcast(together.select("term").distinct())
     d_t = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), WORD.replace("[^", "[")))).alias("term")).join(
         terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("d_t"))
-    d_e = entities.distinct().groupBy("kind", "value").agg(F.count("*").alias("d_e"))
-    n = docs.count()
-    scored = together.join(d_e, ["kind", "value"]).join(d_t, "term").withColumn(
+    scored = together.join(d_t, "term").withColumn(
         "disclosure", F.log(n * F.col("d_te") / (F.col("d_t") * F.col("d_e"))) / F.log(n / F.col("d_e")))
-    return scored.filter((F.col("d_e") < n) & (F.col("disclosure") >= threshold)).select("kind", "value", "term", "disclosure")
+    return scored.filter(F.col("disclosure") >= threshold).select("kind", "value", "term", "disclosure")
 
 
 def term_spans(docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
@@ -189,12 +192,14 @@ def sanitised(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPP
     removed.  Overlapping spans merge into the earliest.  Texts without spans
     are returned as they are; all columns and rows stay."""
     none = F.array().cast(f"array<{SPAN}>")
-    found = personal_data(docs, threshold, support).filter(F.size("terms") > 0).select(
-        F.xxhash64("doc_id").alias("_id"), F.col("th").alias("_th"), "terms").dropDuplicates(["_id", "_th"])
-    rows = docs.withColumns({"_id": F.xxhash64("doc_id"), "_th": F.xxhash64("text")}).join(
-        checked_broadcast(stored(found, "pii-found")), ["_id", "_th"], "left").withColumn(
-        "_s", F.concat(F.when(F.col("text").isNull(), none).otherwise(base_spans(F.col("text"))), F.coalesce("terms", none)))
-    ordered = F.sort_array(F.transform("_s", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
+    found = personal_data(docs, threshold, support).filter(F.size("terms") > 0)
+    keyed, names = with_row_keys(docs)
+    terms, every = unused(docs, "_terms"), unused(docs, "_spans")
+    found = stored(found.select(
+        F.xxhash64("doc_id").alias(names[0]), F.col("th").alias(names[1]), F.col("terms").alias(terms)).dropDuplicates(names), "pii-found")
+    rows = keyed.join(checked_broadcast(found), names, "left").withColumn(
+        every, F.concat(F.when(F.col("text").isNull(), none).otherwise(base_spans(F.col("text"))), F.coalesce(terms, none)))
+    ordered = F.sort_array(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
 
     def step(acc, s):
         mask = F.lit("")
@@ -210,4 +215,4 @@ def sanitised(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPP
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     done = F.aggregate(ordered, start, step)
     clean = F.concat(F.array_join(done["out"], ""), F.substring(docs["text"], done["at"] + 1, F.length(docs["text"])))
-    return rows.withColumn("text", F.when(F.size("_s") == 0, F.col("text")).otherwise(clean)).select(*docs.columns)
+    return rows.withColumn("text", F.when(F.size(every) == 0, F.col("text")).otherwise(clean)).select(*docs.columns)
