@@ -8,12 +8,15 @@ class first, so exact copies cost one row each.  Over the classes:
    text); each breaks ties by a hash of its own.  Any total order is valid for
    prefix filtering, so an inexact count costs time, never a link.
 2. Under order k two sets with Jaccard >= t share a shingle among their first
-   ``n - ceil(t n) + 1``.  The first shingles of each order give a few keys a
-   class; comparing every class with its key's leader links large groups of
-   near copies through a number of pairs linear in their size.
-3. Classes that share a prefix shingle under the first order but are not
-   connected yet are all compared.  Buckets inside one component are dropped
-   by a combining aggregation before any pair is made.
+   ``n - ceil(t n) + 1``.  Shingles that two classes have in their prefixes
+   under the first order make buckets.  Each class is first compared with its
+   buckets' leaders: the classes in which the bucket's shingle ranks lowest,
+   that is, which have the fewest rarer shingles of their own.  Of a group of
+   edited copies that is the least edited one, so this links the group
+   through a number of pairs linear in its size.
+3. What shares a bucket but is not connected yet is all compared.  Buckets
+   inside one component are dropped by a combining aggregation before any
+   pair is made.
 4. A pair goes on only if *every* order allows it: the shingles the two
    prefixes have in common, plus all that can follow the cut, must reach the
    overlap the threshold needs.  The survivors are verified on whole sets.
@@ -25,6 +28,7 @@ needed for components; no link between components is missed.
 from __future__ import annotations
 
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,21 +36,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelake.llm.common import map_rows, stored
+from featurelake.llm.common import checked_broadcast, map_rows, stored, with_row_keys
 from featurelake.llm.components import components
-from featurelake.llm.decontaminate import checked_broadcast
 
-THRESHOLD = 85          # percent of the union
-WORDS = 4
 SKETCH_BITS = 21        # counters of the frequency sketch: 2**21, whatever the corpus
 SKETCH_BLOCKS = 32
-LEAD_KEYS = 3           # keys a class and order give in step 2
 BLOCK = 64              # classes in a block of the verification
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 _U = np.uint64
 
 
+class Measure(NamedTuple):
+    """Shingles of so many words; linked from so many percent of the union."""
+
+    words: int = 4
+    percent: int = 85
+
+
+NEAR_COPY = Measure(5, 80)
+
+
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
     """A 64-bit finaliser: one pseudo-random order of the tokens a seed."""
     x = x ^ _U(seed)
@@ -65,7 +75,7 @@ class WordHashes(dict):
         return h
 
 
-def shingles(text: bytes | None, hashes: WordHashes, k: int = WORDS) -> np.ndarray:
+def shingles(text: bytes | None, hashes: WordHashes, k: int) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles of a UTF-8 text.  ASCII
     letters are lowered and words split at ASCII white space; a text of fewer
     than k words is one shingle, one without words has none."""
@@ -81,7 +91,7 @@ def shingles(text: bytes | None, hashes: WordHashes, k: int = WORDS) -> np.ndarr
     return np.unique(_mix(h, 0))
 
 
-def batch_shingles(rows, hashes: WordHashes, k: int = WORDS, limit: int = 200_000):
+def batch_shingles(rows, hashes: WordHashes, k: int, limit: int = 200_000):
     """(row, ``shingles`` of its last field) for many rows at a time: the
     hashes of all windows of a batch are computed together."""
     held, texts, size = [], [], 0
@@ -115,12 +125,12 @@ def batch_shingles(rows, hashes: WordHashes, k: int = WORDS, limit: int = 200_00
     yield from flush()
 
 
-def need(n, m, percent: int = THRESHOLD):
+def need(n, m, percent: int):
     """Smallest overlap of sets of n and m tokens that reaches the threshold."""
     return -(-percent * (n + m) // (100 + percent))
 
 
-def prefix_length(n: int, percent: int = THRESHOLD) -> int:
+def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
@@ -128,7 +138,7 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"], F.xxhash64(docs["text"]).alias("th"), docs["text"].cast("binary").alias("text"))
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """One pass over all texts: rows of kind 0 hold (doc_id, th, n, sig), the
     size and 128-bit hash of the set; rows of kind 1 hold blocks of the
     partition's part of the frequency sketch."""
@@ -136,7 +146,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(rows):
         hashes, counts, held, waiting = WordHashes(), np.zeros(size, np.uint32), [], 0
-        for (doc_id, th, _), s in batch_shingles(rows, hashes):
+        for (doc_id, th, _), s in batch_shingles(rows, hashes, measure.words):
             held.append(s)
             waiting += len(s)
             if waiting > 1_000_000:
@@ -182,7 +192,7 @@ def sketch_classes(parts: DataFrame) -> bytes:
     return np.minimum(31, np.log2(np.maximum(counts / mean, 1.0)).astype(np.int64)).astype(np.uint8).tobytes()
 
 
-def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes) -> DataFrame:
+def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes, measure: Measure = Measure()) -> DataFrame:
     """(cid, n, p0, p1): the prefix of each class under both orders, as
     ascending order keys (frequency class in the high bits, then the hash):
     8 bytes a key under the first order, which is joined on; 4 under the
@@ -194,7 +204,7 @@ def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes) -> DataFrame
         hashes, seen = WordHashes(), set()
         level = np.frombuffer(freq.value, np.uint8).astype(_U) << _U(58)
         mask = _U((1 << SKETCH_BITS) - 1)
-        for _, s in batch_shingles(rows, hashes):
+        for _, s in batch_shingles(rows, hashes, measure.words):
             if not len(s):
                 continue
             sig = xxhash.xxh3_128_digest(s.tobytes())
@@ -204,7 +214,7 @@ def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes) -> DataFrame
                 seen.clear()
             seen.add(sig)
             high = level[(s & mask).astype(np.int64)]
-            p = prefix_length(len(s))
+            p = prefix_length(len(s), measure.percent)
             first, second = (np.sort(np.partition(high | (_mix(s, seed) >> _U(6)), p - 1)[:p]) for seed in ORDERS)
             yield sig, first.tobytes(), (second >> _U(31)).astype(np.uint32).tobytes()
 
@@ -213,20 +223,10 @@ def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes) -> DataFrame
         F.first("n").alias("n"), F.first("p0").alias("p0"), F.first("p1").alias("p1"))
 
 
-def lead_keys(prefix: DataFrame) -> DataFrame:
-    """(key, cid, n): the first LEAD_KEYS shingles of each order."""
-    def run(rows):
-        for cid, n, p0, p1 in rows:
-            for order, p in enumerate((np.frombuffer(p0, np.int64), np.frombuffer(p1, np.uint32))):
-                for key in p[:LEAD_KEYS].tolist():
-                    yield key, order, cid, n
-
-    return map_rows(prefix.select("cid", "n", "p0", "p1"), run, "key long, order int, cid long, n long")
-
-
-def prefix_entries(known: DataFrame) -> DataFrame:
-    """(token, cid, root, np): the first order's prefix, a row a shingle;
-    ``np`` packs the size of the set and the rank in the prefix."""
+def prefix_entries(prefix: DataFrame) -> DataFrame:
+    """(token, cid, np): the first order's prefix, a row a shingle; ``np``
+    packs the size of the set and the rank in the prefix, which keeps the
+    exchange narrow."""
     def run(batches):
         for b in batches:
             parts = b.column("p0").to_pylist()
@@ -234,31 +234,50 @@ def prefix_entries(known: DataFrame) -> DataFrame:
             if not lens.sum():
                 continue
             rank = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
-            cid, root, n = (np.repeat(b.column(c).to_numpy(), lens) for c in ("cid", "root", "n"))
+            cid, n = (np.repeat(b.column(c).to_numpy(), lens) for c in ("cid", "n"))
             full = pa.RecordBatch.from_arrays([pa.array(x) for x in (
-                np.frombuffer(b"".join(parts), np.int64), cid, root, (n << 32) | rank)], names=["token", "cid", "root", "np"])
+                np.frombuffer(b"".join(parts), np.int64), cid, (n << 32) | rank)], names=["token", "cid", "np"])
             for at in range(0, full.num_rows, 100_000):
                 yield full.slice(at, 100_000)
 
-    return known.select("cid", "root", "n", "p0").mapInArrow(run, "token long, cid long, root long, np long")
+    return prefix.select("cid", "n", "p0").mapInArrow(run, "token long, cid long, np long")
+
 
+def _size(x: str):
+    return F.shiftright(x, 32)
 
-def _allowed(rows):
-    """Step 4 for (a, b, n, p0, p1, m, q0, q1)."""
-    for a, b, n, p0, p1, m, q0, q1 in rows:
-        alpha = need(n, m)
-        for p, q, kind in ((p0, q0, np.int64), (p1, q1, np.uint32)):
-            p, q = np.frombuffer(p, kind), np.frombuffer(q, kind)
-            cut = min(p[-1], q[-1])
-            i, j = np.searchsorted(p, cut, "right"), np.searchsorted(q, cut, "right")
-            common = np.isin(p[:i], q[:j]).sum()
-            if not common or common + min(n - i, m - j) < alpha:
-                break
-        else:
-            yield a, b
 
+def _rank(x: str):
+    return F.col(x).bitwiseAND(F.lit((1 << 32) - 1))
 
-def verified(docs: DataFrame, classes: DataFrame, prefix: DataFrame, pairs: DataFrame) -> DataFrame:
+
+def _may_link(x: str, y: str, percent: int):
+    """Length and positional bounds at a common token of two packed entries.
+    At the first common token of a linked pair both hold."""
+    after = F.least(_size(x) - _rank(x), _size(y) - _rank(y))
+    return (100 * F.least(_size(x), _size(y)) >= percent * F.greatest(_size(x), _size(y))) & (
+        after * (100 + percent) >= percent * (_size(x) + _size(y)))
+
+
+def _allowed(percent: int):
+    """Step 4 for rows (a, b, n, p0, p1, m, q0, q1)."""
+    def run(rows):
+        for a, b, n, p0, p1, m, q0, q1 in rows:
+            alpha = need(n, m, percent)
+            for p, q, kind in ((p0, q0, np.int64), (p1, q1, np.uint32)):
+                p, q = np.frombuffer(p, kind), np.frombuffer(q, kind)
+                cut = min(p[-1], q[-1])
+                i, j = np.searchsorted(p, cut, "right"), np.searchsorted(q, cut, "right")
+                common = np.isin(p[:i], q[:j]).sum()
+                if not common or common + min(n - i, m - j) < alpha:
+                    break
+            else:
+                yield a, b
+
+    return run
+
+
+def verified(docs: DataFrame, classes: DataFrame, prefix: DataFrame, pairs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """Those of ``pairs`` (a, b) of class ids that link.
 
     The sets of the pairs that pass the prefix bounds are compared in blocks:
@@ -271,7 +290,7 @@ def verified(docs: DataFrame, classes: DataFrame, prefix: DataFrame, pairs: Data
     # only the prefixes of pairs are moved
     right = right.join(checked_broadcast(pairs.select("b").distinct()), "b", "left_semi")
     joined = left.join(checked_broadcast(pairs), "a").join(right, "b").select("a", "b", "n", "p0", "p1", "m", "q0", "q1")
-    some = stored(map_rows(joined, _allowed, "a long, b long"), "shingle-pairs")
+    some = stored(map_rows(joined, _allowed(measure.percent), "a long, b long"), "shingle-pairs")
 
     group = components(some)
     sizes = group.groupBy("root").agg(F.count("*").alias("size"))
@@ -292,7 +311,7 @@ def verified(docs: DataFrame, classes: DataFrame, prefix: DataFrame, pairs: Data
     texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep_id"]) & (texts["th"] == wanted["th"])).select("cid", "text")
 
     def sets(rows):
-        for (cid, _), s in batch_shingles(rows, WordHashes()):
+        for (cid, _), s in batch_shingles(rows, WordHashes(), measure.words):
             yield cid, s.tobytes()
 
     found = map_rows(texts, sets, "cid long, s binary").groupBy("cid").agg(F.first("s").alias("s"))
@@ -306,14 +325,14 @@ def verified(docs: DataFrame, classes: DataFrame, prefix: DataFrame, pairs: Data
         for a, b in zip(pairs["a"], pairs["b"]):
             x, y = by[a], by[b]
             common = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * common >= THRESHOLD * (len(x) + len(y) - common):
+            if 100 * common >= measure.percent * (len(x) + len(y) - common):
                 out.append((a, b))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return stored(tasks.groupBy("g", "i", "j").cogroup(sent.groupBy("bg", "bi", "bj")).applyInPandas(exact, "a long, b long"), "shingle-links")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """(doc_id, th, n_shingles, component_id) for every row of ``docs``
     (doc_id, text, any more columns).
 
@@ -322,39 +341,33 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     minimum (null only if a whole component has none); repeated rows keep a
     row each.  ``th`` is xxhash64 of the text, to tell rows of one id apart.
     """
-    parts = stored(signatures(docs), "shingle-signatures")
+    parts = stored(signatures(docs, measure), "shingle-signatures")
     rows = parts.filter("kind = 0").select("doc_id", "th", "n", "sig")
     classes = stored(rows.filter("n > 0").groupBy("sig").agg(
         F.first("n").alias("n"), F.min(F.struct("doc_id", "th")).alias("rep"), F.min("doc_id").alias("least_id")
     ).withColumn("cid", F.monotonically_increasing_id()), "shingle-classes")
-    prefix = stored(prefixes(docs, classes, sketch_classes(parts.filter("kind = 1"))), "shingle-prefixes")
-
-    keyed = lead_keys(prefix)
-    lead = keyed.groupBy("key", "order").agg(F.min(F.struct("n", "cid")).alias("lead"), F.count("*").alias("size")).filter(
-        "size > 1").select("key", "order", F.col("lead.cid").alias("a"), F.col("lead.n").alias("m"))
-    first = stored(keyed.join(lead, ["key", "order"]).filter((F.col("cid") != F.col("a")) & (100 * F.col("m") >= THRESHOLD * F.col("n"))).select(
-        "a", F.col("cid").alias("b")).distinct(), "shingle-leaders")
-    links = verified(docs, classes, prefix, first)
+    prefix = stored(prefixes(docs, classes, sketch_classes(parts.filter("kind = 1")), measure), "shingle-prefixes")
+
+    entries = prefix_entries(prefix)
+    met = entries.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1").select("token")
+    shared = stored(entries.join(met, "token"), "shingle-shared")
+
+    lead = shared.groupBy("token").agg(F.min(F.struct(_rank("np").alias("rank"), "cid", "np")).alias("lead")).select(
+        "token", F.col("lead.cid").alias("a"), F.col("lead.np").alias("lead_np"))
+    first = stored(shared.join(lead, "token").filter((F.col("cid") != F.col("a")) & _may_link("np", "lead_np", measure.percent)).select(
+        F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct(), "shingle-leaders")
+    links = verified(docs, classes, prefix, first, measure)
     roots = components(links)
 
-    known = stored(prefix.join(roots, prefix["cid"] == roots["node"], "left").select(
-        "cid", "n", "p0", F.coalesce("root", "cid").alias("root")), "shingle-roots")
-    entries = prefix_entries(known)
-    mixed = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-    entries = stored(entries.join(mixed, "token"), "shingle-entries")
-    a = entries.select("token", *[F.col(c).alias(f"a_{c}") for c in ("cid", "root", "np")])
-    b = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in ("cid", "root", "np")])
-    size = {x: F.shiftright(f"{x}_np", 32) for x in "ab"}
-    rank = {x: F.col(f"{x}_np").bitwiseAND(F.lit((1 << 32) - 1)) for x in "ab"}
-    total = size["a"] + size["b"]
-    # at the first common token of a linked pair, what follows on either side still reaches the overlap
-    reach = F.least(size["a"] - rank["a"], size["b"] - rank["b"]) * (100 + THRESHOLD) >= THRESHOLD * total
-    pairs = a.join(b, "token").filter(
-        ((size["a"] < size["b"]) | ((size["a"] == size["b"]) & (F.col("a_cid") < F.col("b_cid")))) & (F.col("a_root") != F.col("b_root"))
-        & (100 * size["a"] >= THRESHOLD * size["b"]) & reach)
-    pairs = stored(pairs.select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b")).distinct(), "shingle-candidates")
-    more = verified(docs, classes, prefix, pairs)
-    roots = components(links.union(more))
+    known = shared.join(roots, shared["cid"] == roots["node"], "left").select("token", "cid", "np", F.coalesce("root", "cid").alias("root"))
+    mixed = known.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
+    rest = stored(known.join(mixed, "token"), "shingle-mixed")
+    a, b = (rest.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("cid", "root", "np")]) for x in "ab")
+    pairs = a.join(b, "token").filter((F.col("a_cid") < F.col("b_cid")) & (F.col("a_root") != F.col("b_root"))
+                                      & _may_link("a_np", "b_np", measure.percent))
+    pairs = stored(pairs.select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b")).distinct().join(
+        first, ["a", "b"], "left_anti"), "shingle-candidates")
+    roots = components(links.union(verified(docs, classes, prefix, pairs, measure)))
 
     named = classes.join(roots, classes["cid"] == roots["node"], "left").select(
         "sig", "least_id", F.coalesce("root", "cid").alias("root"))
@@ -365,16 +378,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """``docs`` with one document of each group: the row whose id names the
     component.  Documents without words all stay; of rows that repeat an id
     in one component the smallest text hash stays, once."""
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, measure)
     keep = found.filter("n_shingles > 0").groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("k")).select(
-        F.xxhash64("k.doc_id").alias("_id"), F.col("k.th").alias("_th"))
+        F.xxhash64("k.doc_id").alias("id"), F.col("k.th").alias("th"))
     blank = F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]", "") == ""
-    stay = docs.filter(~blank).withColumns({"_id": F.xxhash64("doc_id"), "_th": F.xxhash64("text")}).join(
-        keep, ["_id", "_th"], "left_semi")
-    # only rows that repeat both id and text are left to drop; the join has put them together
-    return stay.dropDuplicates(["_id", "_th"]).drop("_id", "_th").union(docs.filter(blank))
+    keyed, names = with_row_keys(docs.filter(~blank))
+    # after the join only rows that repeat both id and text are left to drop, and they are together
+    stay = keyed.join(keep.toDF(*names), names, "left_semi").dropDuplicates(names).drop(*names)
+    return stay.union(docs.filter(blank))
