@@ -1,10 +1,11 @@
 """Truncated-SVD recommender.
 
-The user × item matrix is never materialised densely: it lives as sparse
-cells ``(user_id, product_id, rating)``.  MLlib's ``RowMatrix.computeSVD``
-factors it from one sparse vector per user (a row is bounded by the item
-count); the model is stored as tables — item factors V, singular values Σ and
-user scores U·Σ — and predictions are dot products over joins.
+The user x item matrix A is never materialised densely: it lives as sparse
+cells ``(user_id, product_id, rating)``.  The factors come from randomised
+subspace iteration: A V and A' Y are joins with combining sums, so a hot user
+or product is split over tasks, and only matrices of (components + oversample)
+squared reach the driver.  The model is stored as tables (item factors V,
+singular values, user scores) and predictions are dot products over joins.
 """
 
 from __future__ import annotations
@@ -13,29 +14,32 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from featurelake.functions import to_double
 from featurelake.operators.indexing import with_position
 from featurelake.schemas import RELEVANCE_THRESHOLD, SVD_COMPONENTS, TOP_K
+from featurelake.session import fresh_dir
+from featurelake.sources.lake import new_version, newest_version
 
-FACTOR_T = T.ArrayType(T.DoubleType())
-# Largest block of item factors shipped to the scoring tasks at once.
-DEFAULT_BLOCK_BYTES = 64 * 1024 * 1024
-# Largest V broadcast for the user projection; beyond it the projection is a join.
-MAX_BROADCAST_V_BYTES = 256 * 1024 * 1024
+# Block of item factors that a scoring pass ships to its tasks.
+BLOCK_BYTES = 64 * 1024 * 1024
+# Scores a task holds at a time: users x items of a slice.
+SLICE_USERS, SLICE_ITEMS = 512, 4096
+# Subspace iteration: extra directions, passes at most, relative change that ends it.
+OVERSAMPLE, PASSES, TOLERANCE = 8, 7, 1e-10
 
 
 # -- R1 / R2 / R7: cells and the matrix --------------------------------------
 
 def rating_cells(df: DataFrame, user: str = "user_id", item: str = "product_id",
                  rating: str = "rating") -> DataFrame:
-    """Mean rating per (user, item); null keys and null means dropped."""
+    """Mean rating per (user, item); null keys and ratings that are not
+    numbers dropped."""
     return (df.filter(F.col(user).isNotNull() & F.col(item).isNotNull())
               .groupBy(F.col(user).alias("user_id"), F.col(item).alias("product_id"))
-              .agg(F.avg(F.col(rating).cast("double")).alias("rating"))
+              .agg(F.avg(to_double(rating)).alias("rating"))
               .filter(F.col("rating").isNotNull()))
 
 
@@ -44,29 +48,22 @@ def observed_cells(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("rating") > 0)
 
 
-def user_item_matrix(cells: DataFrame, items: list[str] | None = None,
-                     max_columns: int = 10_000) -> DataFrame:
-    """R2: wide matrix (one column per item, 0 = unseen) for small item sets.
-    ``items`` fixes the column list; otherwise the distinct items are listed
-    first, refusing more than ``max_columns`` (the row form of the matrix for
-    any catalog size is ``user_rows``)."""
-    if items is None:
-        listed = cells.select("product_id").distinct().limit(max_columns + 1).collect()
-        if len(listed) > max_columns:
-            raise ValueError(f"more than {max_columns} items: use user_rows() (sparse rows) instead")
-        items = sorted(r[0] for r in listed)
-    wide = cells.groupBy("user_id").pivot("product_id", items).agg(F.first("rating"))
-    return wide.na.fill(0.0)
+def user_item_matrix(cells: DataFrame, items: list[str]) -> DataFrame:
+    """R2: the wide matrix for the listed items (a column each), 0 where a
+    user has no cell.  The cells themselves are the form for whole catalogs."""
+    wide = cells.filter(F.col("product_id").isin(items)).groupBy("user_id").pivot("product_id", items).agg(F.first("rating"))
+    return cells.select("user_id").distinct().join(wide, "user_id", "left").na.fill(0.0)
 
 
 def split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42,
           key: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Reproducible train/test split by a hash of the row key (stable under
-    recomputation and repartitioning, unlike a random draw)."""
+    """Reproducible train/test split by the first 52 bits of the MD5 of the
+    row key (stable under recomputation and repartitioning, unlike a random
+    draw, and the same in any engine)."""
     cols = key or df.columns
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(10_000))
-    cut = int(round(test_fraction * 10_000))
-    return df.filter(bucket >= cut), df.filter(bucket < cut)
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    draw = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+    return df.filter(draw >= test_fraction), df.filter(draw < test_fraction)
 
 
 # -- R4 / R5: fitting ---------------------------------------------------------
@@ -90,98 +87,114 @@ def item_index(cells: DataFrame) -> DataFrame:
     return with_position(items, [F.col("product_id").asc()], name="item_idx")
 
 
-def user_rows(cells: DataFrame, index: DataFrame) -> DataFrame:
-    """The matrix in row form: one row per user with its (item_idx, rating)
-    cells — bounded by the item count, whatever the user's raw activity."""
-    return (cells.join(index, "product_id")
-                 .groupBy("user_id")
-                 .agg(F.collect_list(F.struct("item_idx", "rating")).alias("cells")))
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _sparse_vectors(rows: DataFrame, n_items: int):
-    from pyspark.mllib.linalg import Vectors
+def _times(rows: DataFrame, key: str, vector: str, matrix: np.ndarray) -> DataFrame:
+    """(key, vector x matrix) for a small matrix, in Arrow batches."""
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                pdf[vector] = list(np.vstack(pdf[vector].to_numpy()) @ matrix)
+            yield pdf
 
-    def to_vec(r):
-        pairs = sorted((int(c[0]), float(c[1])) for c in r.cells)
-        return Vectors.sparse(n_items, [p[0] for p in pairs], [p[1] for p in pairs])
+    return rows.select(key, vector).mapInPandas(run, f"{key} string, {vector} array<double>")
 
-    return rows.rdd.map(to_vec)
 
+def _product(cells: DataFrame, factors: DataFrame, on: str, to: str, width: int) -> DataFrame:
+    """Sparse matrix times thin matrix: per ``to`` the sums of rating x factor."""
+    joined = cells.join(factors.select(on, "x"), on)
+    sums = [F.sum(F.col("rating") * F.col("x")[c]).alias(f"s{c}") for c in range(width)]
+    return joined.groupBy(to).agg(*sums).select(to, F.array(*[F.col(f"s{c}") for c in range(width)]).alias("x"))
 
-def _project_rows(rows: DataFrame, V: np.ndarray) -> DataFrame:
-    """U·Σ = A·V for each user row, in Arrow batches against V (items × k),
-    broadcast once (the same size bound as the V the fit returns)."""
-    spark = rows.sparkSession
-    bv = spark.sparkContext.broadcast(np.ascontiguousarray(V))
-    k = V.shape[1]
 
-    def project(batches):
+def _gram(rows: DataFrame, width: int) -> np.ndarray:
+    """X'X of the vectors in ``x``, summed where they lie."""
+    def run(batches):
         import pandas as pd
-        Vl = bv.value
+
+        total = np.zeros((width, width))
         for pdf in batches:
-            out = np.zeros((len(pdf), k))
-            for r, cells in enumerate(pdf["cells"]):
-                if cells is None or len(cells) == 0:
-                    continue
-                idx = np.fromiter((c["item_idx"] for c in cells), dtype=np.int64, count=len(cells))
-                val = np.fromiter((c["rating"] for c in cells), dtype=float, count=len(cells))
-                out[r] = val @ Vl[idx]
-            yield pd.DataFrame({"user_id": pdf["user_id"], "u": list(out)})
-
-    return rows.mapInPandas(project, "user_id string, u array<double>")
-
-
-def fit_svd(cells: DataFrame, k: int = SVD_COMPONENTS) -> SVDModel:
-    """R4 + R5: uncentered truncated SVD of the user × item matrix.
-
-    One sparse row per user (bounded by the item count) feeds
-    ``RowMatrix.computeSVD``; V (items × k) comes back to the driver — the
-    model's item side, bounded by catalog size × k — and is turned into a
-    table.  User scores U·Σ = A·V are computed as a join + sum, never from a
-    dense matrix.
+            if len(pdf):
+                x = np.vstack(pdf["x"].to_numpy())
+                total += x.T @ x
+        yield pd.DataFrame({"i": np.arange(width), "g": list(total)})
+
+    parts = rows.select("x").mapInPandas(run, "i int, g array<double>")
+    sums = parts.groupBy("i").agg(*[F.sum(F.col("g")[c]).alias(f"s{c}") for c in range(width)]).orderBy("i").collect()
+    return np.array([list(r)[1:] for r in sums]) if sums else np.zeros((width, width))
+
+
+def _whiten(gram: np.ndarray) -> np.ndarray:
+    """M with M' G M = I on the range of G (rank-deficient directions go)."""
+    w, q = np.linalg.eigh((gram + gram.T) / 2)
+    good = w > max(w.max(), 0.0) * 1e-14
+    return q[:, good] / np.sqrt(w[good]) if good.any() else np.zeros((len(w), 0))
+
+
+def _orthonormal(v: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """The item vectors made orthonormal; the second round removes the
+    rounding that the first leaves when they were nearly dependent."""
+    for _ in range(2):
+        basis = _whiten(_gram(v, width))
+        width = basis.shape[1]
+        if not width:
+            break
+        v = _kept(_times(v, "product_id", "x", basis), "svd-v")
+    return v, width
+
+
+def fit_svd(cells: DataFrame, k: int = SVD_COMPONENTS, oversample: int = OVERSAMPLE) -> SVDModel:
+    """R4 + R5: uncentered truncated SVD of the user x item matrix.
+
+    Each pass multiplies by A and by A' (two joins, two combining
+    aggregations) and makes the item vectors orthonormal again; it ends when
+    the singular values no longer change, or after PASSES.  More ``oversample``
+    directions make each pass converge faster; with as many as there are items
+    the first is exact.  Start vectors are hashes of the product id, so a refit
+    gives the same factors.
     """
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    spark = cells.sparkSession
-    we_cached = not cells.storageLevel.useMemory and not cells.storageLevel.useDisk
-    if we_cached:
-        cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
-    index = item_index(cells).persist(StorageLevel.MEMORY_AND_DISK)
-    n_items = index.count()
-    rows = user_rows(cells, index).persist(StorageLevel.MEMORY_AND_DISK)
-    rdd = _sparse_vectors(rows, n_items).persist(StorageLevel.MEMORY_AND_DISK)
-    n_users = rdd.count()
-    k = max(1, min(k, n_items, n_users))
-    svd = RowMatrix(rdd, numRows=n_users, numCols=n_items).computeSVD(k, computeU=False)
-    s = [float(x) for x in svd.s.toArray()]
-    V = _fix_signs(svd.V.toArray())           # n_items × k' (k' may be < k if rank-deficient)
-    rdd.unpersist()
-    vf = spark.createDataFrame(
-        [(int(i), [float(x) for x in V[i]]) for i in range(V.shape[0])],
-        T.StructType([T.StructField("item_idx", T.LongType()), T.StructField("v", FACTOR_T)]))
-    # the model's factor tables are read by every scorer: keep them
-    item_factors = (index.join(vf, "item_idx").select("product_id", "item_idx", "v")
-                         .persist(StorageLevel.MEMORY_AND_DISK))
-    item_factors.count()
-    if V.nbytes <= MAX_BROADCAST_V_BYTES:
-        user_scores = _project_rows(rows, V)
-    else:
-        user_scores = project_users(cells, item_factors, len(s))
-    user_scores = user_scores.persist(StorageLevel.MEMORY_AND_DISK)
-    user_scores.count()
-    for df in (rows, index) + ((cells,) if we_cached else ()):
-        df.unpersist()
-    return SVDModel(item_factors, user_scores, s, n_users, n_items)
-
-
-def _fix_signs(V: np.ndarray) -> np.ndarray:
-    """Deterministic sign per component: largest-|value| entry positive."""
-    V = np.array(V, dtype=float)
-    for j in range(V.shape[1]):
-        i = int(np.argmax(np.abs(V[:, j])))
-        if V[i, j] < 0:
-            V[:, j] = -V[:, j]
-    return V
+    index = _kept(item_index(cells), "svd-items")
+    n_items, n_users = index.count(), cells.select("user_id").distinct().count()
+    width = min(k + oversample, n_items, n_users)
+    k = max(0, min(k, width))
+    seeds = [(F.xxhash64("product_id", F.lit(c)).cast("double") / F.lit(float(1 << 63))) for c in range(width)]
+    v = index.select("product_id", F.array(*seeds).cast("array<double>").alias("x"))
+    none = F.array().cast("array<double>")
+    empty = SVDModel(index.select("product_id", "item_idx", none.alias("v")),
+                     cells.select("user_id").distinct().select("user_id", none.alias("u")), [], n_users, n_items)
+    if not width:                                   # no cell
+        return empty
+    former = None
+    for p in range(PASSES):
+        v, width = _orthonormal(v, width)
+        if not width:                               # zeros only
+            return empty
+        y = _kept(_product(cells, v, "product_id", "user_id", width), "svd-y")
+        gram = _gram(y, width)                      # = V'A'A V
+        values = np.sort(np.linalg.eigvalsh((gram + gram.T) / 2))[::-1][:k]
+        settled = former is not None and len(former) == len(values) and np.allclose(values, former, rtol=TOLERANCE, atol=0)
+        if settled or width == n_items or p == PASSES - 1:   # all of the item space is exact at once
+            break
+        former = values
+        w = _product(cells, y, "user_id", "product_id", width)
+        v = _kept(index.select("product_id").join(w, "product_id", "left").withColumn(
+            "x", F.coalesce("x", F.array(*[F.lit(0.0)] * width))), "svd-w")
+    values, q = np.linalg.eigh((gram + gram.T) / 2)
+    order = [i for i in np.argsort(-values)[:k] if values[i] > max(values.max(), 0.0) * 1e-14]
+    q = q[:, order]
+    rotated = _kept(_times(v, "product_id", "x", q), "svd-v")
+    # deterministic signs: the largest entry of each item component is positive
+    if order:
+        top = rotated.agg(*[F.max_by(F.col("x")[c], F.struct(F.abs(F.col("x")[c]), "product_id")).alias(f"s{c}") for c in range(len(order))]).first()
+        q = q * np.array([-1.0 if (t or 0.0) < 0 else 1.0 for t in top])
+        rotated = _kept(_times(v, "product_id", "x", q), "svd-v")
+    items = index.join(rotated, "product_id").select("product_id", "item_idx", F.col("x").alias("v"))
+    users = _kept(_times(y, "user_id", "x", q).withColumnRenamed("x", "u"), "svd-users")
+    return SVDModel(_kept(items, "svd-factors"), users, [float(np.sqrt(values[i])) for i in order], n_users, n_items)
 
 
 def project_users(cells: DataFrame, item_factors: DataFrame, k: int) -> DataFrame:
@@ -240,98 +253,83 @@ def explained_variance(cells: DataFrame, model: SVDModel) -> DataFrame:
 
 # -- R11: top-K ------------------------------------------------------------------
 
-def _topk_block_fn(block, k: int, exclude_seen: bool):
-    """``block`` is a broadcast of (product ids sorted, V rows): shipped once
-    per executor, not inside every task's closure."""
+def _topk_fn(block, k: int):
+    """Running top-k of user slices against item slices of a broadcast block
+    (ids ascending, V rows); what a task holds does not grow with either side."""
     import pandas as pd
 
+    def best_of(scores, idx):
+        """Per row the k best, score descending, then id ascending; exact ties."""
+        if scores.shape[1] > k:
+            least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+            rows, cols = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
+        else:
+            rows, cols = np.nonzero(scores > -np.inf)
+        order = np.lexsort((idx[rows, cols], -scores[rows, cols], rows))
+        rows, cols = rows[order], cols[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        keep = place < k
+        top = np.full((len(scores), k), -np.inf)
+        at = np.zeros((len(scores), k), np.int64)
+        top[rows[keep], place[keep]] = scores[rows[keep], cols[keep]]
+        at[rows[keep], place[keep]] = idx[rows[keep], cols[keep]]
+        return top, at
+
     def score(batches):
-        block_ids, block_v = block.value
+        ids, v = block.value
         for pdf in batches:
-            if pdf.empty:
-                continue
-            U = np.vstack(pdf["u"].to_numpy())
-            S = U @ block_v.T                          # users × block items
-            if exclude_seen:
-                for r, seen in enumerate(pdf["seen"]):
-                    if seen is not None and len(seen):
-                        mask = np.isin(block_ids, np.asarray(seen))
-                        S[r, mask] = -np.inf
-            nb = S.shape[1]
-            kk = min(k, nb)
-            if nb <= 4096:
-                # stable sort of -score keeps product_id order among ties
-                order = np.argsort(-S, axis=1, kind="stable")[:, :kk]
-                top = np.take_along_axis(S, order, axis=1)
-                keep = np.isfinite(top).ravel()
-                rows_idx = np.repeat(np.arange(S.shape[0]), kk)[keep]
-                yield pd.DataFrame({"user_id": pdf["user_id"].to_numpy()[rows_idx],
-                                    "product_id": block_ids[order.ravel()[keep]],
-                                    "score": top.ravel()[keep]})
-                continue
-            kth = np.partition(S, nb - kk, axis=1)[:, nb - kk]
-            users, items, scores = [], [], []
-            for r in range(S.shape[0]):
-                row = S[r]
-                cand = np.nonzero(row >= kth[r])[0]
-                cand = cand[np.isfinite(row[cand])]
-                # score desc, then product_id asc (block is sorted by product_id)
-                order = cand[np.lexsort((cand, -row[cand]))][:kk]
-                users.extend([pdf["user_id"].iat[r]] * len(order))
-                items.extend(block_ids[order].tolist())
-                scores.extend(row[order].tolist())
-            yield pd.DataFrame({"user_id": users, "product_id": items, "score": scores})
+            for lo in range(0, len(pdf), SLICE_USERS):
+                part = pdf.iloc[lo:lo + SLICE_USERS]
+                u = np.vstack(part["u"].to_numpy())
+                top, at = np.full((len(part), 0), -np.inf), np.zeros((len(part), 0), np.int64)
+                for first in range(0, len(ids), SLICE_ITEMS):
+                    s = u @ v[first:first + SLICE_ITEMS].T
+                    for r, seen in enumerate(part["seen"]):
+                        if seen is not None and len(seen):
+                            s[r, np.isin(ids[first:first + SLICE_ITEMS], np.asarray(seen))] = -np.inf
+                    s[~np.isfinite(s)] = -np.inf
+                    idx = np.broadcast_to(np.arange(first, first + s.shape[1]), s.shape)
+                    top, at = best_of(np.hstack([top, s]), np.hstack([at, idx]))
+                rows, cols = np.nonzero(top > -np.inf)
+                yield pd.DataFrame({"user_id": part["user_id"].to_numpy()[rows], "product_id": ids[at[rows, cols]],
+                                    "score": top[rows, cols]})
 
     return score
 
 
 def recommend(model: SVDModel, k: int = TOP_K, exclude_seen: bool = False,
-              cells: DataFrame | None = None, block_bytes: int = DEFAULT_BLOCK_BYTES,
+              cells: DataFrame | None = None, block_bytes: int = BLOCK_BYTES,
               users: DataFrame | None = None) -> DataFrame:
     """Top-``k`` items per user by predicted score (seen items included
-    by default).  Ties: higher score first, then smaller product_id.
+    by default).  Ties: higher score first, then smaller product_id; scores
+    that are not finite are never recommended.
 
-    Scores are computed in Arrow batches of users against blocks of item
-    factors; a block is at most ``block_bytes`` (checked from n_items × k), so
-    what is broadcast is bounded whatever the catalog size.  With several
-    blocks, each emits ≤ k rows per user and a final per-user rank keeps k.
+    The catalog is taken in blocks of ``block_bytes``: each is read by the
+    driver, broadcast, scored against all users in fixed slices, its at most
+    k rows a user are stored, and the block is released.  One rank at the end
+    keeps k of them.
     """
     spark = model.item_factors.sparkSession
-    per_item = 8 * max(1, model.k) + 64
-    n_blocks = max(1, math.ceil(model.n_items * per_item / block_bytes))
+    n_blocks = max(1, math.ceil(model.n_items * (8 * max(1, model.k) + 64) / block_bytes))
     u = users if users is not None else model.user_scores
     if exclude_seen:
         if cells is None:
             raise ValueError("exclude_seen needs the rating cells")
-        seen = cells.groupBy("user_id").agg(F.collect_list("product_id").alias("seen"))
-        u = u.join(seen, "user_id", "left")
+        u = u.join(cells.groupBy("user_id").agg(F.collect_set("product_id").alias("seen")), "user_id", "left")
     else:
         u = u.withColumn("seen", F.lit(None).cast("array<string>"))
-    schema = "user_id string, product_id string, score double"
-    outs = []
+    u = u.select("user_id", "u", "seen")
+    out = None
     for b in range(n_blocks):
-        blk = (model.item_factors.filter(F.pmod(F.col("item_idx"), F.lit(n_blocks)) == b)
-                    .orderBy("product_id").select("product_id", "v").collect())
-        ids = np.array([r[0] for r in blk], dtype=object)
-        V = np.array([r[1] for r in blk], dtype=float).reshape(len(blk), model.k)
-        bc = spark.sparkContext.broadcast((ids, V))
-        outs.append(u.select("user_id", "u", "seen").mapInPandas(_topk_block_fn(bc, k, exclude_seen), schema))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    if n_blocks > 1:
-        w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("product_id").asc())
-        out = out.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+        rows = (model.item_factors.filter(F.pmod(F.col("item_idx"), F.lit(n_blocks)) == b)
+                     .orderBy("product_id").select("product_id", "v").collect())
+        block = spark.sparkContext.broadcast((np.array([r[0] for r in rows], dtype=object),
+                                              np.array([r[1] for r in rows], dtype=float).reshape(len(rows), -1)))
+        part = _kept(u.mapInPandas(_topk_fn(block, k), "user_id string, product_id string, score double"), "top-k")
+        block.unpersist()
+        out = part if out is None else out.unionByName(part)
     w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("product_id").asc())
-    return out.withColumn("rank", F.row_number().over(w).cast("long"))
-
-
-def top_k_by_score(scores: DataFrame, k: int = TOP_K, user: str = "user_id",
-                   item: str = "product_id", score: str = "score") -> DataFrame:
-    """R11 over an explicit score table: row_number per user ≤ k (Spark
-    plans a WindowGroupLimit that trims each partition before the shuffle)."""
-    w = Window.partitionBy(user).orderBy(F.col(score).desc(), F.col(item).asc())
-    return scores.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
+    return out.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
 # -- R12-R14: precision and recall at K ---------------------------------------
@@ -355,19 +353,29 @@ def precision_recall_at_k(cells: DataFrame, topk: DataFrame, k: int = TOP_K,
 
 # -- R22: persistence ----------------------------------------------------------
 
-def save_model(model: SVDModel, path: str) -> None:
+def save_model(model: SVDModel, path: str) -> str:
+    """A new version of the model; ``shape`` is written last and makes it
+    current, so loading and saving under one path is safe."""
     spark = model.item_factors.sparkSession
-    model.item_factors.write.mode("overwrite").parquet(f"{path}/item_factors")
-    model.user_scores.write.mode("overwrite").parquet(f"{path}/user_scores")
+    version = new_version()
+    base = f"{path.rstrip('/')}"
+    model.item_factors.write.parquet(f"{base}/item_factors/version={version}")
+    model.user_scores.write.parquet(f"{base}/user_scores/version={version}")
     meta = [(i, float(s)) for i, s in enumerate(model.singular_values)]
-    spark.createDataFrame(meta, "component long, singular_value double") \
-         .write.mode("overwrite").parquet(f"{path}/singular_values")
-    spark.createDataFrame([(model.n_users, model.n_items)], "n_users long, n_items long") \
-         .write.mode("overwrite").parquet(f"{path}/shape")
+    spark.createDataFrame(meta, "component long, singular_value double").write.parquet(f"{base}/singular_values/version={version}")
+    spark.createDataFrame([(model.n_users, model.n_items)], "n_users long, n_items long").write.parquet(f"{base}/shape/version={version}")
+    return version
 
 
 def load_model(spark: SparkSession, path: str) -> SVDModel:
-    sv = [r[1] for r in spark.read.parquet(f"{path}/singular_values").orderBy("component").collect()]
-    shape = spark.read.parquet(f"{path}/shape").first()
-    return SVDModel(spark.read.parquet(f"{path}/item_factors"), spark.read.parquet(f"{path}/user_scores"),
-                    sv, int(shape[0]), int(shape[1]))
+    current = newest_version(spark, f"{path.rstrip('/')}/shape")
+    if current is None:
+        raise FileNotFoundError(f"no complete model under {path}")
+    version = current.rsplit("/", 1)[1]
+
+    def part(name: str) -> DataFrame:
+        return spark.read.parquet(f"{path.rstrip('/')}/{name}/{version}")
+
+    sv = [r[1] for r in part("singular_values").orderBy("component").collect()]
+    shape = part("shape").first()
+    return SVDModel(part("item_factors"), part("user_scores"), sv, int(shape[0]), int(shape[1]))

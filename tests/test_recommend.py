@@ -142,13 +142,57 @@ def test_topk_large_block_exact_ties(spark):
         assert got[uid] == [ids[i] for i in ref]
 
 
-def test_projection_without_broadcast_matches(spark, monkeypatch):
-    cells, rows = _cells(spark, seed=9, users=15, items=7, density=0.6)
-    a = recommend.fit_svd(cells, k=3)
-    monkeypatch.setattr(recommend, "MAX_BROADCAST_V_BYTES", 0)
-    b = recommend.fit_svd(cells, k=3)
-    ua = {r.user_id: r.u for r in a.user_scores.collect()}
-    ub = {r.user_id: r.u for r in b.user_scores.collect()}
-    assert ua.keys() == ub.keys()
-    for key in ua:
-        assert np.allclose(ua[key], ub[key], atol=1e-10)
+def test_top_k_memory_does_not_grow_with_catalog_or_batch():
+    import tracemalloc
+
+    import pandas as pd
+    rng = np.random.default_rng(0)
+
+    class Block:
+        value = (np.array([f"P{i:05d}" for i in range(20_000)], dtype=object), rng.normal(size=(20_000, 12)))
+
+    users = pd.DataFrame({"user_id": [f"U{i}" for i in range(3_000)], "u": list(rng.normal(size=(3_000, 12))), "seen": None})
+    fn = recommend._topk_fn(Block, 5)
+    tracemalloc.start()
+    out = pd.concat(fn([users]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 15_000 and peak < 300e6
+    scores = users["u"].iloc[7] @ Block.value[1].T
+    assert out[out.user_id == "U7"].product_id.tolist() == Block.value[0][np.argsort(-scores)[:5]].tolist()
+
+
+def test_scores_that_are_not_finite_are_left_out(spark):
+    for n in (10, 5000):
+        items = spark.createDataFrame([(f"P{i:05d}", i, [float("nan") if i == 0 else float(i)]) for i in range(n)],
+                                      "product_id string, item_idx long, v array<double>")
+        users = spark.createDataFrame([("U1", [1.0])], "user_id string, u array<double>")
+        got = recommend.recommend(recommend.SVDModel(items, users, [1.0], 1, n), 5).orderBy("rank").collect()
+        assert [r.product_id for r in got] == [f"P{i:05d}" for i in range(n - 1, n - 6, -1)]
+
+
+def test_wide_matrix_fits_by_passes(spark):
+    rng = np.random.default_rng(2)
+    A = (rng.normal(size=(60, 5)) * [9, 7, 5, 3, 2]) @ rng.normal(size=(5, 90)) + 0.01 * rng.normal(size=(60, 90))
+    cells = spark.createDataFrame([(f"U{u}", f"P{i}", float(A[u, i])) for u in range(60) for i in range(90)],
+                                  "user_id string, product_id string, rating double")
+    model = recommend.fit_svd(cells, 4)
+    assert np.allclose(model.singular_values, np.linalg.svd(A, compute_uv=False)[:4], rtol=1e-8)
+    v = np.array([r.v for r in model.item_factors.orderBy("item_idx").collect()])
+    assert np.allclose(v.T @ v, np.eye(4), atol=1e-10)
+
+
+def test_load_then_save_keeps_the_model(spark, scratch):
+    cells, _ = _cells(spark, users=8, items=5)
+    model = recommend.fit_svd(cells, 2)
+    recommend.save_model(model, scratch)
+    loaded = recommend.load_model(spark, scratch)
+    recommend.save_model(loaded, scratch)
+    again = recommend.load_model(spark, scratch)
+    assert again.singular_values == model.singular_values
+    assert sorted(again.user_scores.collect()) == sorted(model.user_scores.collect())
+
+
+def test_no_cells(spark):
+    cells = spark.createDataFrame([], "user_id string, product_id string, rating double")
+    assert recommend.fit_svd(cells, 3).k == 0
