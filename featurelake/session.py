@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -65,18 +64,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir`` (must be
-    shared storage).  Only when it is unset (local tests) a fresh temporary
-    folder is created and registered as the checkpoint dir.
+    This is the folder named by ``spark.checkpoint.dir``, which must be shared
+    storage.  Where it is unset there is none: a temporary folder would be a
+    different one on each machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="featurelake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
