@@ -4,10 +4,6 @@ from featurelake.functions.columns import (  # noqa: F401
     clip,
     elapsed_days,
     fill_numeric_zero,
-    money,
-    money_avg,
-    money_sum,
-    nan_to_null,
     portable,
     round_half_up,
     safe_div,

@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 
 MICROS_PER_DAY = 86_400_000_000
 
+# Timestamp formats besides the ISO-like ones (month before day).
+TEXT_TIMESTAMPS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "MMM d, yyyy H:mm:ss", "MMM d, yyyy", "yyyyMMdd HHmmss", "yyyyMMdd",
+                   "yyyy/M/d H:mm:ss", "yyyy/M/d")
+
 # Numbers written with a trailing type letter (``1.0d``, ``2f``) are accepted
 # by the JVM parser but are not numbers for the pipeline; reject them.  The
 # only valid numeric words ending in such a letter are the infinities.
@@ -30,18 +34,15 @@ def to_double(c) -> Column:
     return F.when(typed_literal | F.isnan(d), F.lit(None).cast("double")).otherwise(d)
 
 
-def nan_to_null(c) -> Column:
-    c = col_of(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 def as_timestamp(c) -> Column:
     """TIMESTAMP_NTZ / TIMESTAMP / text -> TIMESTAMP (session zone = UTC).
 
-    Text accepts both ``yyyy-MM-dd HH:mm:ss`` and ISO-8601 with offset;
-    unparseable text becomes null.
+    Text is ISO-like (``yyyy-MM-dd HH:mm:ss``, with offset or without) or in
+    one of ``TEXT_TIMESTAMPS``, the first that fits; other text becomes null.
     """
-    return col_of(c).try_cast("timestamp")
+    c = col_of(c)
+    text = F.trim(c.cast("string"))
+    return F.coalesce(c.try_cast("timestamp"), *[F.try_to_timestamp(text, F.lit(f)) for f in TEXT_TIMESTAMPS])
 
 
 def ts_literal(value) -> Column:
@@ -71,19 +72,6 @@ def safe_div(a, b) -> Column:
     return F.try_divide(col_of(a).cast("double"), col_of(b).cast("double"))
 
 
-def money(c) -> Column:
-    """Amount at cent precision; sums of it are exact and order-free."""
-    return col_of(c).cast(T.DecimalType(18, 2))
-
-
-def money_sum(c) -> Column:
-    return F.sum(money(c)).cast("double")
-
-
-def money_avg(c) -> Column:
-    return (F.sum(money(c)).cast("double") / F.count(col_of(c))).cast("double")
-
-
 def ts_text(c) -> Column:
     """Portable text for a timestamp (microseconds, UTC)."""
     return F.date_format(as_timestamp(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -95,12 +83,28 @@ def fill_numeric_zero(df: DataFrame) -> DataFrame:
     return df.na.fill(0, subset=numeric) if numeric else df
 
 
+# Fixed value: just over a half, so that the last bit of a sum, which depends on
+# the order of its terms, cannot decide how an exact half is rounded.
+HALF_UP = 0.5001220703125
+
+
 def round_half_up(c, digits: int = 6) -> Column:
-    """Round with plain IEEE arithmetic, floor(x * 10^d + 0.5) / 10^d, so any
-    engine doing the same double operations returns the same bits."""
-    scale = float(10 ** digits)
+    """Round with plain IEEE arithmetic, floor(x * 10^d + HALF_UP) / 10^d, so
+    any engine doing the same double operations returns the same bits.  Sums of a
+    billion and more have no sixth decimal: from 1e9 on two decimals stay, from
+    1e15 on millions, from 1e18 on units of 1e12, and from 1e30 on (and for
+    infinities) the value itself."""
     c = col_of(c).cast("double")
-    return (F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)).alias("r")
+
+    def to(scale: float) -> Column:
+        return F.floor(c * F.lit(scale) + F.lit(HALF_UP)).cast("double") / F.lit(scale)
+
+    def units(unit: float) -> Column:
+        return F.floor(c / F.lit(unit) + F.lit(HALF_UP)).cast("double") * F.lit(unit)
+
+    size = F.abs(c)
+    return (F.when(size < 1e9, to(float(10 ** digits))).when(size < 1e15, to(100.0))
+             .when(size < 1e18, units(1e6)).when(size < 1e30, units(1e12)).otherwise(c)).alias("r")
 
 
 def portable(df: DataFrame, digits: int = 6) -> DataFrame:

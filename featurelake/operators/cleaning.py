@@ -24,6 +24,7 @@ def impute_mean(df: DataFrame, column: str) -> DataFrame:
     before the main stage) — no join and nothing collected row-wise.
     """
     c = F.col(column).cast("double")
+    c = F.when(~F.isnan(c), c)
     mean = df.select(F.avg(c)).scalar()
     return df.withColumn(column, F.coalesce(c, mean))
 
@@ -54,7 +55,7 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
 def prepare(df: DataFrame, rating: str = "rating", amount: str = "amount",
             keys: Sequence[str] = ("user_id", "product_id")) -> DataFrame:
     """The whole cleaning chain over raw interactions."""
-    out = coerce_numeric(df, amount)
+    out = coerce_numeric(coerce_numeric(df, amount), rating)
     out = impute_mean(out, rating)          # mean before drops, clip and dedupe
     out = drop_missing(out, keys)
     out = clip(out, rating, RATING_MIN, RATING_MAX)

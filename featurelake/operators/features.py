@@ -17,8 +17,6 @@ from featurelake.functions import (
     clip,
     elapsed_days,
     fill_numeric_zero,
-    money_avg,
-    money_sum,
     safe_div,
     ts_literal,
 )
@@ -43,8 +41,8 @@ def user_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame
          .groupBy("user_id").agg(
             F.count("transaction_id").alias("user_total_interactions"),
             F.avg("rating").alias("user_avg_rating"),
-            F.coalesce(money_sum("amount"), F.lit(0.0)).alias("user_total_spent"),
-            money_avg("amount").alias("user_avg_spent"),
+            F.coalesce(F.sum("amount"), F.lit(0.0)).alias("user_total_spent"),
+            F.avg("amount").alias("user_avg_spent"),
             F.stddev_samp("rating").alias("user_rating_std"),
             F.countDistinct("product_id").alias("user_unique_products"),
             F.min("_ts").alias("user_first_interaction"),
@@ -74,8 +72,8 @@ def item_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame
          .groupBy("product_id").agg(
             F.avg("rating").alias("item_avg_rating"),
             F.count("transaction_id").alias("item_popularity_score"),
-            F.coalesce(money_sum("amount"), F.lit(0.0)).alias("item_total_revenue"),
-            money_avg(positive_amount).alias("item_avg_price"),
+            F.coalesce(F.sum("amount"), F.lit(0.0)).alias("item_total_revenue"),
+            F.avg(positive_amount).alias("item_avg_price"),
             F.stddev_samp("rating").alias("item_rating_std"),
             F.countDistinct("user_id").alias("item_unique_users"),
             F.min("_ts").alias("item_first_interaction"),
@@ -102,7 +100,7 @@ def interaction_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> Da
          .groupBy("user_id", "product_id").agg(
             F.count("transaction_id").alias("interaction_count"),
             F.avg("rating").alias("interaction_avg_rating"),
-            F.coalesce(money_sum("amount"), F.lit(0.0)).alias("interaction_total_spent"),
+            F.coalesce(F.sum("amount"), F.lit(0.0)).alias("interaction_total_spent"),
             F.min("_ts").alias("interaction_first"),
             F.max("_ts").alias("interaction_last"),
          ))

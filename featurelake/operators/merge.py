@@ -24,9 +24,10 @@ def relevant_events(ev: DataFrame, actions: Sequence[str] = RELEVANT_ACTIONS) ->
 
 
 def implicit_rating(ev: DataFrame, mapping: Mapping[str, int] = IMPLICIT_RATING) -> DataFrame:
-    """M2: action -> implicit rating through a literal map lookup."""
-    lookup = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(int(v)))])
-    return ev.withColumn("rating", F.element_at(lookup, F.col("action")).cast("int"))
+    """M2: action -> implicit rating (text, like the raw feed's) through a
+    literal map lookup."""
+    lookup = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(str(int(v))))])
+    return ev.withColumn("rating", F.element_at(lookup, F.col("action")))
 
 
 def stream_ids(ev: DataFrame, mode: str = "rank", ts: str = "ts") -> DataFrame:
@@ -57,7 +58,7 @@ def align(ev: DataFrame, ts: str = "ts") -> DataFrame:
     return ev.select(
         "transaction_id", "user_id", "product_id",
         F.lit(STREAM_AMOUNT_TEXT).alias("amount"),
-        F.col("rating").cast("int").alias("rating"),
+        F.col("rating").cast("string").alias("rating"),
         F.col(ts).alias("timestamp"),
     )
 

@@ -33,10 +33,12 @@ def register(name: str, sql: str | None = None):
 # -- shared inputs ----------------------------------------------------------
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Keep a derived input (joins + aggregations over the base tables) that a
-    query scans more than once; a lost block is recomputed from lineage."""
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """A derived input that a query scans more than once, written to the
+    shared scratch folder."""
+    from featurelake.session import fresh_dir
+    path = fresh_dir(df.sparkSession, "input")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def combined(spark: SparkSession, sf_dir: str, id_mode: str = "key") -> DataFrame:
@@ -47,8 +49,6 @@ def combined(spark: SparkSession, sf_dir: str, id_mode: str = "key") -> DataFram
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the mean subquery and the rows share the scan's exchanges (exchange
-    # reuse), which is cheaper here than caching the whole raw table
     return cleaning.prepare(combined(spark, sf_dir))
 
 
@@ -75,12 +75,6 @@ def q_interaction_features(spark, sf_dir):
 
 # -- sources, speed layer, merge, cleaning ------------------------------------
 
-def _speed_ordered(df):
-    from pyspark.sql import functions as F
-    from featurelake.functions import as_timestamp
-    return [as_timestamp("ts").desc_nulls_last(), F.col("event_id").asc_nulls_first()]
-
-
 @register("landed_transactions", O.q(f"SELECT {O.portable_select(O.COMBINED_COLS)} FROM raw_tx"))
 def q_landed_transactions(spark, sf_dir):
     """S2 -> S4 -> S1: land the raw feed twice as CSV snapshots; only the
@@ -98,22 +92,36 @@ def q_landed_transactions(spark, sf_dir):
 @register("speed_table", O.SPEED_TABLE_SQL)
 def q_speed_table(spark, sf_dir):
     """Event lines (three files) streamed into the speed table."""
-    from featurelake.session import fresh_dir
     from featurelake.sources import lake
+    root = _ingested(spark, sf_dir)
+    return lake.read_speed(spark, f"{root}/clicks").select("event_id", "user_id", "product_id", "action", "ts")
+
+
+def _ingested(spark, sf_dir, lines=None):
+    """A speed table filled by the stream from three files of event lines."""
+    from featurelake.session import fresh_dir
     from featurelake.streaming import speed_layer
     root = fresh_dir(spark, "speed")
-    fixtures.event_lines(spark, sf_dir).repartition(3).write.text(f"{root}/incoming")
-    speed_layer.ingest_folder(spark, f"{root}/incoming", f"{root}/clicks", f"{root}/dead",
-                              f"{root}/_checkpoint")
-    return lake.read_speed(spark, f"{root}/clicks").select("event_id", "user_id", "product_id", "action", "ts")
+    lines = fixtures.event_lines(spark, sf_dir) if lines is None else lines
+    lines.repartition(3).write.text(f"{root}/incoming")
+    speed_layer.ingest_folder(spark, f"{root}/incoming", f"{root}/clicks", f"{root}/dead", f"{root}/_checkpoint")
+    return root
+
+
+@register("dead_letters", O.DEAD_LETTERS_SQL)
+def q_dead_letters(spark, sf_dir):
+    """Lines that are no events (cut short, with text after the object,
+    without a required key), as the stream stores them."""
+    from featurelake.streaming import speed_layer
+    root = _ingested(spark, sf_dir, fixtures.faulty_event_lines(spark, sf_dir))
+    return speed_layer.read_dead_letters(spark, f"{root}/dead").select("value", "reason")
 
 
 @register("latest_events", O.LATEST_EVENTS_SQL)
 def q_latest_events(spark, sf_dir):
+    """The ten events that arrived last; the feed arrives by event id."""
     from featurelake.streaming import speed_layer
-    speed = fixtures.speed_snapshot(spark, sf_dir)
-    return speed_layer.latest_events(speed, 10, order=_speed_ordered(speed)).select(
-        "event_id", "user_id", "product_id", "action", "ts")
+    return speed_layer.latest_events(fixtures.arrivals(spark, sf_dir), 10).select("event_id", "user_id", "product_id", "action", "ts")
 
 
 @register("event_count", O.EVENT_COUNT_SQL)
@@ -164,6 +172,35 @@ def q_dq_summary(spark, sf_dir):
     return summary
 
 
+@register("csv_contract_failures", O.CSV_CONTRACT_SQL)
+def q_csv_contract_failures(spark, sf_dir):
+    """S1 + V4-V8: files with another column order, quoted commas and quotes
+    and an extra column, read by header name; failures of both contracts."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import quality
+    from featurelake.session import fresh_dir
+    from featurelake.sources import lake
+    root = fresh_dir(spark, "feed")
+    raw = fixtures.interactions_raw(spark, sf_dir).withColumn(
+        "product_id", F.concat(F.lit('P "'), F.col("product_id"), F.lit('", x')))
+    odd = F.substring_index("transaction_id", "-", -1).cast("int") % 2 == 1
+    dialect = {"header": "true", "quote": '"', "escape": '"'}
+    raw.filter(odd).write.options(**dialect).csv(f"{root}/a")
+    raw.filter(~odd).select("product_id", "timestamp", "user_id", "rating", F.lit("web").alias("channel"), "transaction_id", "amount") \
+       .write.options(**dialect).csv(f"{root}/b")
+    df = lake.read_transactions(spark, f"{root}/*")
+    checks = quality.validate(df, quality.EXTENDED_CONTRACT).groupBy("column", "check").agg(F.count(F.lit(1)).alias("failures"))
+    cells = df.agg(F.count("channel").alias("n"), F.countDistinct("product_id").alias("p"))
+    return checks.unionByName(cells.select(F.lit("channel").alias("column"), F.lit("filled").alias("check"), F.col("n").alias("failures"))).unionByName(
+        cells.select(F.lit("product_id").alias("column"), F.lit("distinct").alias("check"), F.col("p").alias("failures")))
+
+
+@register("mixed_timestamps", O.q(f"SELECT transaction_id, timestamp, {O.ts_text(O.parsed_ts('timestamp'))} AS ts FROM combined"))
+def q_mixed_timestamps(spark, sf_dir):
+    """Every timestamp text of both layers, parsed."""
+    return portable(cleaning.parse_ts(combined(spark, sf_dir), into="ts").select("transaction_id", "timestamp", "ts"))
+
+
 # -- exploratory summaries --------------------------------------------------
 
 @register("rating_distribution", O.RATING_DIST_SQL)
@@ -186,7 +223,7 @@ def _stamped(df):
 
 
 def _feature_tables(spark, sf_dir):
-    p = prepared(spark, sf_dir)
+    p = materialize(prepared(spark, sf_dir))
     return (features.user_features(p, as_of=AS_OF), features.item_features(p, as_of=AS_OF),
             features.interaction_features(p, as_of=AS_OF))
 
@@ -219,6 +256,20 @@ def q_fetch_features_batch(spark, sf_dir):
     return portable(store.fetch_many(users, keys, "user"))
 
 
+@register("point_lookup", O.q(
+    f"SELECT {O.portable_select(O.USER_FEATURE_COLS)} FROM user_feat WHERE user_id = (SELECT min(user_id) FROM user_feat)", O.USER_FEATURES_CTE))
+def q_point_lookup(spark, sf_dir):
+    """F4 (point form): one user's row from the key-sorted store."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import store
+    from featurelake.session import fresh_dir
+    root = fresh_dir(spark, "store")
+    p = materialize(prepared(spark, sf_dir))
+    store.update_feature_store(root, features.user_features(p, as_of=AS_OF), features.item_features(p, as_of=AS_OF), as_of=AS_OF)
+    key = store.read_table(spark, root, "user_features").agg(F.min("user_id")).first()[0]
+    return portable(store.fetch_features(spark, root, key, "user").drop("updated_at", "version"))
+
+
 def _cols_text(cols):
     return ",".join([c for c, _ in cols] + ["updated_at", "version"])
 
@@ -298,71 +349,128 @@ def q_lineage_fingerprint(spark, sf_dir):
     return lineage.fingerprint(combined(spark, sf_dir))
 
 
+@register("lineage_record", O.LINEAGE_RECORD_SQL)
+def q_lineage_record(spark, sf_dir):
+    """L2 + L3: a step's record, read back from the lineage table."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import lineage
+    from featurelake.session import fresh_dir
+    root = fresh_dir(spark, "lineage")
+    raw, both = fixtures.interactions_raw(spark, sf_dir), combined(spark, sf_dir)
+    lineage.track_lineage(spark, root, "merge", raw, both, lineage.lineage_params(both))
+    return lineage.read_lineage(spark, root).select(
+        "step", "input_hash", "output_hash", F.col("parameters")["data_source"].alias("data_source"),
+        F.col("parameters")["includes_streaming"].alias("includes_streaming"))
+
+
 # -- recommender -------------------------------------------------------------------
 
+BRANDS = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]
+
+
+def interaction_cells(spark, sf_dir):
+    """R1 over the uncleaned combined interactions."""
+    from featurelake.operators import recommend
+    return materialize(recommend.rating_cells(combined(spark, sf_dir)))
+
+
 def brand_cells(spark, sf_dir):
-    """R1 over the raw (uncleaned) interactions with the part brand as item."""
+    """R1 with the part's brand as item: few items, for the wide matrix."""
     from featurelake.operators import recommend
     return materialize(recommend.rating_cells(fixtures.brand_interactions(spark, sf_dir)))
 
 
 def item_mean_model(cells):
-    """A rank-1 factor model whose prediction is the item's mean observed
-    rating (u = [1], v = [mean]).  Its scores are derivable in SQL, so the
-    scoring, top-K and evaluation operators can be checked against DuckDB with
-    the same code paths the SVD model uses."""
+    """A rank-2 model that SQL can follow: an item's mean observed rating, and
+    a term that favours or disfavours often rated items by the user's number
+    modulo 3.  Rankings differ between users; scoring, top-K and evaluation
+    take the code paths of the SVD model."""
     from pyspark.sql import functions as F
+    from featurelake.functions import round_half_up
     from featurelake.operators import recommend
     obs = recommend.observed_cells(cells)
-    means = obs.groupBy("product_id").agg(F.avg("rating").alias("m"))
-    index = recommend.item_index(cells)
-    items = index.join(means, "product_id").select(
-        "product_id", "item_idx", F.array(F.col("m")).alias("v"))
-    users = materialize(cells.select("user_id").distinct().select("user_id", F.array(F.lit(1.0)).alias("u")))
-    items = materialize(items)
-    n_users, n_items = users.count(), items.count()
-    return recommend.SVDModel(items, users, [1.0], n_users, n_items)
+    means = obs.groupBy("product_id").agg(round_half_up(F.avg("rating")).alias("m"), (F.count(F.lit(1)) / 64.0).alias("p"))
+    items = materialize(recommend.item_index(cells).join(means, "product_id").select("product_id", "item_idx", F.array("m", "p").alias("v")))
+    taste = (F.substring("user_id", 2, 18).cast("long") % 3 - 1).cast("double")
+    users = materialize(cells.select("user_id").distinct().select("user_id", F.array(F.lit(1.0), taste).alias("u")))
+    return recommend.SVDModel(items, users, [1.0, 1.0], users.count(), items.count())
 
 
 def baseline_pairs(spark, sf_dir):
     from featurelake.operators import recommend
-    cells = brand_cells(spark, sf_dir)
+    cells = interaction_cells(spark, sf_dir)
     return materialize(recommend.scored_cells(cells, item_mean_model(cells)))
 
 
 @register("rating_cells", O.CELLS_SQL)
 def q_rating_cells(spark, sf_dir):
-    return portable(brand_cells(spark, sf_dir))
+    from featurelake.operators import recommend
+    return portable(recommend.rating_cells(combined(spark, sf_dir)))
 
 
 @register("observed_cells", O.OBSERVED_SQL)
 def q_observed_cells(spark, sf_dir):
     from featurelake.operators import recommend
-    return portable(recommend.observed_cells(brand_cells(spark, sf_dir)))
+    return portable(recommend.observed_cells(recommend.rating_cells(combined(spark, sf_dir))))
 
 
 @register("user_item_matrix", O.MATRIX_SQL)
 def q_user_item_matrix(spark, sf_dir):
     from featurelake.operators import recommend
-    return portable(recommend.user_item_matrix(brand_cells(spark, sf_dir)))
+    return portable(recommend.user_item_matrix(brand_cells(spark, sf_dir), BRANDS))
 
 
-@register("train_test_split")
+@register("train_test_split", O.SPLIT_SQL)
 def q_train_test_split(spark, sf_dir):
-    """Sizes of the reproducible 80/20 split of the raw brand interactions."""
+    """Sizes of the reproducible 80/20 split of the combined interactions."""
     from pyspark.sql import functions as F
     from featurelake.operators import recommend
-    train, test = recommend.split(fixtures.brand_interactions(spark, sf_dir), 0.2, 42)
+    train, test = recommend.split(combined(spark, sf_dir), 0.2, 42)
     return train.agg(F.count(F.lit(1)).alias("train_rows")).select(
         "train_rows", test.select(F.count(F.lit(1))).scalar().alias("test_rows"))
 
 
 def _svd(spark, sf_dir):
+    """12 components over the combined interactions, real products."""
     from featurelake.operators import recommend
-    cells = brand_cells(spark, sf_dir)
+    cells = interaction_cells(spark, sf_dir)
     return cells, recommend.fit_svd(cells, 12)
 
 
+@register("svd_full_rank", O.SVD_FULL_RANK_SQL)
+def q_svd_full_rank(spark, sf_dir):
+    """R4-R10 where SQL knows the answer: with as many components as brands
+    the singular values carry all of the squared ratings, the error is zero
+    and the explained shares add up to one."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import evaluate, recommend
+    cells = brand_cells(spark, sf_dir)
+    model = recommend.fit_svd(cells, len(BRANDS))
+    err = evaluate.error_metrics(recommend.scored_cells(cells, model))
+    share = recommend.explained_variance(cells, model).agg(F.sum("explained_variance_ratio")).scalar()
+    return portable(err.select(
+        F.lit(float(sum(x * x for x in model.singular_values))).alias("squared_singular_values"), "rmse", "mae",
+        share.alias("explained_variance")), 5)
+
+
+@register("svd_residuals", O.SVD_RESIDUALS_SQL)
+def q_svd_residuals(spark, sf_dir):
+    """R4 at 12 components: per component the residual of A'A v = s^2 v
+    relative to s^2, and the distance of V'V from the identity."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import recommend
+    cells = brand_cells(spark, sf_dir)
+    model = recommend.fit_svd(cells, 12, oversample=len(BRANDS))
+    again = recommend.project_users(cells, model.item_factors, model.k).withColumnRenamed("u", "y")
+    back = cells.join(again, "user_id").select("product_id", "rating", F.posexplode("y").alias("c", "y")).groupBy("product_id", "c").agg(
+        F.sum(F.col("rating") * F.col("y")).alias("w"))
+    s2 = F.array(*[F.lit(x * x) for x in model.singular_values])
+    v = model.item_factors.select("product_id", F.posexplode("v").alias("c", "v"))
+    resid = v.join(back, ["product_id", "c"]).withColumn("s2", s2[F.col("c")]).groupBy("c").agg(
+        (F.sqrt(F.sum(F.pow(F.col("w") - F.col("s2") * F.col("v"), 2))) / F.first("s2")).alias("residual"), F.sum(F.col("v") * F.col("v")).alias("norm"))
+    return portable(resid.select(F.col("c").cast("long").alias("component"), F.abs("residual").alias("residual"), "norm"), 6)
+
+
 @register("svd_metrics")
 def q_svd_metrics(spark, sf_dir):
     """12-component fit, in-sample RMSE / MAE, explained variance,
@@ -388,7 +496,7 @@ def q_svd_explained_variance(spark, sf_dir):
 
 @register("svd_top_k")
 def q_svd_top_k(spark, sf_dir):
-    """Top-5 brands per user from the SVD reconstruction."""
+    """Top-5 products per user from the SVD reconstruction."""
     from featurelake.operators import recommend
     _, model = _svd(spark, sf_dir)
     return recommend.recommend(model, 5)
@@ -403,14 +511,14 @@ def q_baseline_error(spark, sf_dir):
 @register("baseline_top_k", O.BASE_TOPK_SQL)
 def q_baseline_top_k(spark, sf_dir):
     from featurelake.operators import recommend
-    cells = brand_cells(spark, sf_dir)
+    cells = interaction_cells(spark, sf_dir)
     return portable(recommend.recommend(item_mean_model(cells), 5))
 
 
 @register("baseline_precision_recall", O.BASE_PR_SQL)
 def q_baseline_pr(spark, sf_dir):
     from featurelake.operators import recommend
-    cells = brand_cells(spark, sf_dir)
+    cells = interaction_cells(spark, sf_dir)
     topk = recommend.recommend(item_mean_model(cells), 5)
     return portable(recommend.precision_recall_at_k(cells, topk, 5, 3.5))
 
@@ -448,12 +556,33 @@ def q_baseline_kde(spark, sf_dir):
 @register("matrix_sample", O.MATRIX_SAMPLE_SQL)
 def q_matrix_sample(spark, sf_dir):
     from featurelake.operators import evaluate
-    return portable(evaluate.matrix_sample(brand_cells(spark, sf_dir), 15))
+    return portable(evaluate.matrix_sample(interaction_cells(spark, sf_dir), 15))
 
 
 # -- whole job ---------------------------------------------------------------------
 
-@register("lambda_job")
+@register("svd_evaluation")
+def q_svd_evaluation(spark, sf_dir):
+    """R15-R19 on the SVD predictions, as one long table."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import evaluate, recommend
+    cells, model = _svd(spark, sf_dir)
+    pairs = materialize(recommend.scored_cells(cells, model))
+
+    def rows(name, df, key, value):
+        return df.select(F.lit(name).alias("summary"), F.concat_ws(":", *[F.col(k).cast("string") for k in key]).alias("key"),
+                         F.col(value).cast("double").alias("value"))
+
+    out = rows("mae_by_rating", evaluate.mae_by_rating(pairs), ["rating"], "mae")
+    for part in (rows("residual_histogram", evaluate.residual_histogram(pairs, 25), ["bin"], "count"),
+                 rows("shared_histogram", evaluate.shared_histogram(pairs, 15), ["series", "bin"], "count"),
+                 rows("hexbin", evaluate.hexbin_density(pairs, 15), ["lattice", "ix", "iy"], "count"),
+                 rows("kde", evaluate.kde(pairs), ["series", "point"], "density")):
+        out = out.unionByName(part)
+    return out
+
+
+@register("lambda_job", O.LAMBDA_JOB_SQL)
 def q_lambda_job(spark, sf_dir):
     """O1-O2: land the batch feed (CSV), the click lines and the product
     catalog (from the driver tables), run every stage, return the stage log."""

@@ -16,11 +16,20 @@ def _raw_select(where: str = "") -> str:
     'P' || CAST(l.l_partkey AS VARCHAR) AS product_id,
     CASE WHEN l.l_orderkey % 101 = 0 THEN NULL
          WHEN l.l_orderkey % 103 = 0 THEN 'ERROR_VAL'
+         WHEN l.l_orderkey % 1501 = 0 THEN '1e20'
+         WHEN l.l_orderkey % 2003 = 0 THEN 'inf'
+         WHEN l.l_orderkey % 131 = 0 THEN CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || '4'
          ELSE CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS amount,
     CASE WHEN l.l_orderkey % 107 = 0 THEN NULL
-         WHEN l.l_orderkey % 109 = 0 THEN 99
-         ELSE CAST(trunc(l.l_quantity) AS INTEGER) % 7 END AS rating,
-    strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') AS timestamp,
+         WHEN l.l_orderkey % 109 = 0 THEN '99'
+         WHEN l.l_orderkey % 127 = 0 THEN 'n/a'
+         WHEN l.l_orderkey % 113 = 0 THEN CAST(CAST(trunc(l.l_quantity) AS INTEGER) % 7 AS VARCHAR) || '.5'
+         ELSE CAST(CAST(trunc(l.l_quantity) AS INTEGER) % 7 AS VARCHAR) END AS rating,
+    CASE WHEN l.l_orderkey % 137 = 0 THEN strftime(l.l_shipdate, '%m/%d/%Y %H:%M')
+         WHEN l.l_orderkey % 139 = 0 THEN strftime(l.l_shipdate, '%b %-d, %Y %H:%M:%S')
+         WHEN l.l_orderkey % 149 = 0 THEN strftime(l.l_shipdate, '%Y%m%d')
+         WHEN l.l_orderkey % 1511 = 0 THEN 'yesterday'
+         ELSE strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') END AS timestamp,
     l.l_partkey AS l_partkey
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey {where}"""
 
@@ -46,14 +55,14 @@ STREAM_CTE = """stream_rows AS (
                      user_id ASC NULLS FIRST, product_id ASC NULLS FIRST,
                      action ASC NULLS FIRST, event_id ASC NULLS FIRST) - 1 AS VARCHAR) AS transaction_id,
          user_id, product_id, '0.0' AS amount,
-         CASE action WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'add_to_cart' THEN 4 END AS rating,
+         CASE action WHEN 'view' THEN '2' WHEN 'click' THEN '3' WHEN 'add_to_cart' THEN '4' END AS rating,
          ts AS timestamp
   FROM speed WHERE action IN ('view', 'click', 'add_to_cart')
 )"""
 
 COMBINED_CTE = """stream_keyed AS (
   SELECT 'STREAM_' || event_id AS transaction_id, user_id, product_id, '0.0' AS amount,
-         CASE action WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'add_to_cart' THEN 4 END AS rating,
+         CASE action WHEN 'view' THEN '2' WHEN 'click' THEN '3' WHEN 'add_to_cart' THEN '4' END AS rating,
          ts AS timestamp
   FROM speed WHERE action IN ('view', 'click', 'add_to_cart')
 ),
@@ -64,11 +73,17 @@ combined AS (
 )"""
 
 
+def parsed_ts(c: str) -> str:
+    formats = ", ".join(f"'{f}'" for f in ("%m/%d/%Y %H:%M", "%b %d, %Y %H:%M:%S", "%Y%m%d"))
+    # the list comes first: DuckDB's cast would also take some of these texts
+    return f"COALESCE(TRY_STRPTIME({c}, [{formats}]), TRY_CAST({c} AS TIMESTAMP))"
+
+
 def prepared_cte(source: str = "combined") -> str:
     return f"""coerced AS (
   SELECT transaction_id, user_id, product_id,
          TRY_CAST(trim(amount) AS DOUBLE) AS amount,
-         CAST(rating AS DOUBLE) AS rating, timestamp
+         TRY_CAST(rating AS DOUBLE) AS rating, timestamp
   FROM {source}
 ),
 imputed AS (
@@ -82,7 +97,7 @@ prepared AS (
          timestamp
   FROM imputed WHERE user_id IS NOT NULL AND product_id IS NOT NULL
 ),
-parsed AS (SELECT *, TRY_CAST(timestamp AS TIMESTAMP) AS ts FROM prepared)"""
+parsed AS (SELECT *, {parsed_ts('timestamp')} AS ts FROM prepared)"""
 
 
 BASE_CTES = ",\n".join([RAW_CTE, EVENTS_CTE, STREAM_CTE, COMBINED_CTE, prepared_cte()])
@@ -101,20 +116,12 @@ def ts_text(c: str) -> str:
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
-def money_sum(c: str) -> str:
-    return f"CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
-
-
-def money_avg(c: str) -> str:
-    return f"(CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / count({c}))"
-
-
 USER_FEATURES_CTE = f"""uf_agg AS (
   SELECT user_id,
          count(transaction_id) AS total,
          avg(rating) AS avg_rating,
-         COALESCE({money_sum('amount')}, 0.0) AS total_spent,
-         {money_avg('amount')} AS avg_spent,
+         COALESCE(sum(amount), 0.0) AS total_spent,
+         avg(amount) AS avg_spent,
          stddev_samp(rating) AS rating_std,
          count(DISTINCT product_id) AS uniq,
          min(ts) AS first_ts, max(ts) AS last_ts
@@ -146,8 +153,8 @@ ITEM_FEATURES_CTE = f"""if_agg AS (
   SELECT product_id,
          avg(rating) AS avg_rating,
          count(transaction_id) AS pop,
-         COALESCE({money_sum('amount')}, 0.0) AS revenue,
-         {money_avg('CASE WHEN amount > 0 THEN amount END')} AS avg_price,
+         COALESCE(sum(amount), 0.0) AS revenue,
+         avg(CASE WHEN amount > 0 THEN amount END) AS avg_price,
          stddev_samp(rating) AS rating_std,
          count(DISTINCT user_id) AS uniq,
          min(ts) AS first_ts, max(ts) AS last_ts
@@ -178,7 +185,7 @@ INTERACTION_FEATURES_CTE = f"""xf_agg AS (
   SELECT user_id, product_id,
          count(transaction_id) AS cnt,
          avg(rating) AS avg_rating,
-         COALESCE({money_sum('amount')}, 0.0) AS spent,
+         COALESCE(sum(amount), 0.0) AS spent,
          min(ts) AS first_ts, max(ts) AS last_ts
   FROM parsed WHERE user_id IS NOT NULL AND product_id IS NOT NULL
   GROUP BY user_id, product_id
@@ -197,7 +204,11 @@ inter_feat AS (
 
 
 def round6(c: str) -> str:
-    return f"(CAST(floor(CAST({c} AS DOUBLE) * 1000000.0 + 0.5) AS DOUBLE) / 1000000.0)"
+    x = f"CAST({c} AS DOUBLE)"
+    return (f"(CASE WHEN abs({x}) < 1e9 THEN floor({x} * 1000000.0 + 0.5001220703125) / 1000000.0 "
+            f"WHEN abs({x}) < 1e15 THEN floor({x} * 100.0 + 0.5001220703125) / 100.0 "
+            f"WHEN abs({x}) < 1e18 THEN floor({x} / 1e6 + 0.5001220703125) * 1e6 "
+            f"WHEN abs({x}) < 1e30 THEN floor({x} / 1e12 + 0.5001220703125) * 1e12 ELSE {x} END)")
 
 
 def portable_select(cols: list[tuple[str, str]]) -> str:
@@ -240,7 +251,7 @@ def q(body: str, *ctes: str) -> str:
 
 
 COMBINED_COLS = [("transaction_id", "s"), ("user_id", "s"), ("product_id", "s"),
-                 ("amount", "s"), ("rating", "i"), ("timestamp", "s")]
+                 ("amount", "s"), ("rating", "s"), ("timestamp", "s")]
 PREPARED_COLS = [("transaction_id", "s"), ("user_id", "s"), ("product_id", "s"),
                  ("amount", "d"), ("rating", "d"), ("timestamp", "s")]
 
@@ -261,7 +272,7 @@ DQ_MISSING_SQL = q(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS missing FROM combined"
     for c in TX_NAMES))
 
-DQ_FAILURES_BODY = """
+DQ_FAILURES_BODY = f"""
 SELECT 'user_id' AS "column", 'not_null' AS "check", CAST(user_id AS VARCHAR) AS failure_case, transaction_id AS row_key
   FROM combined WHERE user_id IS NULL
 UNION ALL
@@ -271,12 +282,12 @@ SELECT 'rating', 'castable(double)', CAST(rating AS VARCHAR), transaction_id
   FROM combined WHERE rating IS NOT NULL AND TRY_CAST(rating AS DOUBLE) IS NULL
 UNION ALL
 SELECT 'rating', 'in_range(1, 5)', CAST(rating AS VARCHAR), transaction_id
-  FROM combined WHERE rating IS NOT NULL AND (CAST(rating AS DOUBLE) < 1 OR CAST(rating AS DOUBLE) > 5)
+  FROM combined WHERE TRY_CAST(rating AS DOUBLE) < 1 OR TRY_CAST(rating AS DOUBLE) > 5
 UNION ALL
 SELECT 'timestamp', 'not_null', timestamp, transaction_id FROM combined WHERE timestamp IS NULL
 UNION ALL
 SELECT 'timestamp', 'castable(timestamp)', timestamp, transaction_id
-  FROM combined WHERE timestamp IS NOT NULL AND TRY_CAST(timestamp AS TIMESTAMP) IS NULL"""
+  FROM combined WHERE timestamp IS NOT NULL AND {parsed_ts('timestamp')} IS NULL"""
 
 DQ_FAILURES_CTE = f"dq_fail AS ({DQ_FAILURES_BODY})"
 
@@ -297,24 +308,39 @@ TOP_ITEMS_SQL = q("""SELECT product_id, count(*) AS count FROM prepared WHERE pr
 GROUP BY product_id ORDER BY count DESC, product_id ASC LIMIT 10""")
 
 LATEST_EVENTS_SQL = q("""SELECT event_id, user_id, product_id, action, ts FROM speed
-ORDER BY TRY_CAST(ts AS TIMESTAMP) DESC NULLS LAST, event_id ASC LIMIT 10""")
+ORDER BY CAST(event_id AS BIGINT) DESC LIMIT 10""")
+
+DEAD_LETTERS_SQL = q("""SELECT CASE WHEN n % 11 = 0 THEN substr(line, 1, 20) WHEN n % 13 = 0 THEN line || ' trailing' ELSE lacking END AS value,
+       CASE WHEN n % 11 = 0 OR n % 13 = 0 THEN 'malformed_json' ELSE 'missing_key:product_id' END AS reason
+FROM (SELECT CAST(event_id AS BIGINT) AS n,
+             '{"event_id":"' || event_id || '","user_id":"' || user_id || '"' || COALESCE(',"product_id":"' || product_id || '"', '')
+               || ',"action":"' || action || '","timestamp":"' || timestamp || '"}' AS line,
+             '{"event_id":"' || event_id || '","user_id":"' || user_id || '","action":"' || action || '","timestamp":"' || timestamp || '"}' AS lacking
+      FROM click_events) e
+WHERE n % 11 = 0 OR n % 13 = 0 OR n % 17 = 0""")
 
 EVENT_COUNT_SQL = q("SELECT count(*) AS total FROM speed")
 
 SPEED_TABLE_SQL = q("SELECT event_id, user_id, product_id, action, ts FROM speed")
 
-FIELD_SEP_SQL = "chr(31)"
+def fingerprint_sql(source: str, cols: list[str]) -> str:
+    text = " || ".join(f"COALESCE(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols)
 
+    def half(start: int) -> str:
+        return f"CAST(COALESCE(sum(CAST(CAST('0x' || substr(md5({text}), {start}, 16) AS UBIGINT) AS HUGEINT)), 0) AS VARCHAR)"
 
-def fingerprint_sql(source: str, cols: list[str]) -> str:
-    text = f"concat_ws({FIELD_SEP_SQL}, " + ", ".join(
-        f"COALESCE(CAST({c} AS VARCHAR), '\\N')" for c in cols) + ")"
-    digest = f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
     return f"""SELECT rows, content_sum, md5(CAST(rows AS VARCHAR) || ':' || content_sum) AS fingerprint
-FROM (SELECT count(*) AS rows,
-             CAST(COALESCE(sum(CAST({digest} AS HUGEINT)), 0) AS VARCHAR) AS content_sum
-      FROM {source}) f"""
+FROM (SELECT count(*) AS rows, {half(1)} || ':' || {half(17)} AS content_sum FROM {source}) f"""
+
+
+def _hash_of(source: str) -> str:
+    return f"(SELECT fingerprint FROM ({fingerprint_sql(source, TX_NAMES)}) x)"
+
 
+LINEAGE_RECORD_SQL = q(f"""SELECT 'merge' AS step, {_hash_of('raw_tx')} AS input_hash, {_hash_of('combined')} AS output_hash,
+       CASE WHEN s THEN 'combined_streaming_batch' ELSE 'batch_only' END AS data_source,
+       CASE WHEN s THEN 'true' ELSE 'false' END AS includes_streaming
+FROM (SELECT count(*) > 0 AS s FROM combined WHERE transaction_id LIKE 'STREAM\\_%' ESCAPE '\\') f""")
 
 LINEAGE_SQL = q(fingerprint_sql("combined", TX_NAMES))
 
@@ -323,45 +349,81 @@ STAMP_SQL = "strftime(TIMESTAMP '2024-02-01 00:00:00', '%Y-%m-%dT%H:%M:%S.%f')"
 
 # -- recommender ----------------------------------------------------------------
 
-CELLS_CTE = """brand_raw AS (
+CELLS_CTE = f"""brand_raw AS (
   SELECT r.transaction_id, r.user_id, p.p_brand AS product_id, r.amount, r.rating, r.timestamp
   FROM raw_keyed r JOIN part p ON r.l_partkey = p.p_partkey
 ),
-cells AS (
-  SELECT user_id, product_id, avg(CAST(rating AS DOUBLE)) AS rating
+brand_cells AS (
+  SELECT user_id, product_id, avg(TRY_CAST(rating AS DOUBLE)) AS rating
   FROM brand_raw WHERE user_id IS NOT NULL AND product_id IS NOT NULL
-  GROUP BY user_id, product_id HAVING avg(CAST(rating AS DOUBLE)) IS NOT NULL
+  GROUP BY user_id, product_id HAVING avg(TRY_CAST(rating AS DOUBLE)) IS NOT NULL
+),
+cells AS (
+  SELECT user_id, product_id, avg(TRY_CAST(rating AS DOUBLE)) AS rating
+  FROM combined WHERE user_id IS NOT NULL AND product_id IS NOT NULL
+  GROUP BY user_id, product_id HAVING avg(TRY_CAST(rating AS DOUBLE)) IS NOT NULL
 ),
 obs AS (SELECT * FROM cells WHERE rating > 0),
-item_mean AS (SELECT product_id, avg(rating) AS m FROM obs GROUP BY product_id),
+item_mean AS (SELECT product_id, {round6('avg(rating)')} AS m, count(*) / 64.0::DOUBLE AS p FROM obs GROUP BY product_id),
+cell_users AS (SELECT user_id, CAST(CAST(substr(user_id, 2) AS BIGINT) % 3 - 1 AS DOUBLE) AS s FROM (SELECT DISTINCT user_id FROM cells) u),
 pairs AS (
-  SELECT o.user_id, o.product_id, o.rating AS actual, i.m AS prediction
-  FROM obs o JOIN item_mean i ON o.product_id = i.product_id
+  SELECT o.user_id, o.product_id, o.rating AS actual, i.m + u.s * i.p AS prediction
+  FROM obs o JOIN item_mean i ON o.product_id = i.product_id JOIN cell_users u ON o.user_id = u.user_id
 ),
-cell_users AS (SELECT DISTINCT user_id FROM cells),
-topk AS (SELECT product_id, m FROM item_mean ORDER BY m DESC, product_id ASC LIMIT 5)"""
+topk AS (
+  SELECT * FROM (SELECT t.s, product_id, m + t.s * p AS m, row_number() OVER (PARTITION BY t.s ORDER BY m + t.s * p DESC, product_id ASC) AS rank
+                 FROM item_mean, (SELECT CAST(range AS DOUBLE) AS s FROM range(-1, 2)) t) r
+  WHERE rank <= 5)"""
 
 CELLS_SQL = q(f"SELECT user_id, product_id, {round6('rating')} AS rating FROM cells", CELLS_CTE)
 
 OBSERVED_SQL = q(f"SELECT user_id, product_id, {round6('rating')} AS rating FROM obs", CELLS_CTE)
 
-MATRIX_SQL = q(f"""SELECT user_id, {round6('COALESCE(COLUMNS(* EXCLUDE (user_id)), 0)')}
-FROM (PIVOT cells ON product_id USING first(rating) GROUP BY user_id) w""", CELLS_CTE)
+BRANDS = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]
+MATRIX_SQL = q("SELECT user_id, " + ", ".join(
+    f"{round6(f'COALESCE(max(CASE WHEN product_id = {chr(39)}{b}{chr(39)} THEN rating END), 0.0)')} AS {chr(34)}{b}{chr(34)}" for b in BRANDS)
+    + " FROM brand_cells GROUP BY user_id", CELLS_CTE)
+
+SPLIT_SQL = q(f"""SELECT CAST(count(*) FILTER (WHERE draw >= 0.2) AS BIGINT) AS train_rows, CAST(count(*) FILTER (WHERE draw < 0.2) AS BIGINT) AS test_rows
+FROM (SELECT CAST(CAST('0x' || substr(md5('42' || {" || ".join(f"'|' || COALESCE({c}, '')" for c in TX_NAMES)}), 1, 13) AS BIGINT) AS DOUBLE)
+             / 4503599627370496.0 AS draw FROM combined) d""")
+
+SVD_FULL_RANK_SQL = q("""SELECT floor(sum(rating * rating) * 100000.0 + 0.5001220703125) / 100000.0 AS squared_singular_values,
+       0.0::DOUBLE AS rmse, 0.0::DOUBLE AS mae, 1.0::DOUBLE AS explained_variance FROM brand_cells""", CELLS_CTE)
+
+SVD_RESIDUALS_SQL = q("SELECT CAST(range AS BIGINT) AS component, 0.0::DOUBLE AS residual, 1.0::DOUBLE AS norm FROM range(12)")
+
+CSV_CONTRACT_SQL = q(f"""SELECT "column", "check", count(*) AS failures FROM (
+  SELECT "column", "check" FROM dq_raw
+  UNION ALL SELECT 'amount', 'castable(double)' FROM raw_tx WHERE amount IS NOT NULL AND TRY_CAST(amount AS DOUBLE) IS NULL) f GROUP BY 1, 2
+UNION ALL SELECT 'channel', 'filled', count(*) FROM raw_tx WHERE CAST(split_part(transaction_id, '-', 3) AS BIGINT) % 2 = 0
+UNION ALL SELECT 'product_id', 'distinct', count(DISTINCT product_id) FROM raw_tx""",
+                     f"dq_raw AS ({DQ_FAILURES_BODY.replace('FROM combined', 'FROM raw_tx')})")
+
+LAMBDA_JOB_SQL = q("""SELECT stage, 'complete' AS status, rows_out FROM (
+  SELECT 'speed_ingest' AS stage, (SELECT count(*) FROM speed) AS rows_out
+  UNION ALL SELECT 'batch_ingest', (SELECT count(*) FROM raw_tx)
+  UNION ALL SELECT 'merge', (SELECT count(*) FROM combined)
+  UNION ALL SELECT 'validate', (SELECT count(*) FROM dq_fail)
+  UNION ALL SELECT 'prepare', (SELECT count(*) FROM prepared)
+  UNION ALL SELECT 'features', (SELECT count(DISTINCT user_id) FROM prepared)
+  UNION ALL SELECT 'lineage', 1
+  UNION ALL SELECT 'train', (SELECT count(DISTINCT user_id) FROM cells)) l""", DQ_FAILURES_CTE, CELLS_CTE)
 
 BASE_ERROR_SQL = q(f"""SELECT {round6('sqrt(avg((actual - prediction) * (actual - prediction)))')} AS rmse,
        {round6('avg(abs(actual - prediction))')} AS mae, count(*) AS n FROM pairs""", CELLS_CTE)
 
 BASE_TOPK_SQL = q(f"""SELECT u.user_id, t.product_id, {round6('t.m')} AS score,
-       CAST(row_number() OVER (PARTITION BY u.user_id ORDER BY t.m DESC, t.product_id) AS BIGINT) AS rank
-FROM cell_users u, topk t""", CELLS_CTE)
+       t.rank
+FROM cell_users u JOIN topk t ON t.s = u.s""", CELLS_CTE)
 
 BASE_PR_SQL = q("""SELECT avg(CAST(hits AS DOUBLE) / 5.0) AS precision_at_5,
        avg(CASE WHEN n_rel > 0 THEN CAST(hits AS DOUBLE) / n_rel END) AS recall_at_5
 FROM (
   SELECT u.user_id, COALESCE(h.hits, 0) AS hits, COALESCE(r.n_rel, 0) AS n_rel
   FROM cell_users u
-  LEFT JOIN (SELECT c.user_id, count(*) AS hits FROM cells c JOIN topk t ON c.product_id = t.product_id
-             WHERE c.rating >= 3.5 GROUP BY c.user_id) h ON u.user_id = h.user_id
+  LEFT JOIN (SELECT c.user_id, count(*) AS hits FROM cells c JOIN cell_users cu ON cu.user_id = c.user_id
+             JOIN topk t ON c.product_id = t.product_id AND t.s = cu.s WHERE c.rating >= 3.5 GROUP BY c.user_id) h ON u.user_id = h.user_id
   LEFT JOIN (SELECT user_id, count(*) AS n_rel FROM cells WHERE rating >= 3.5 GROUP BY user_id) r
          ON u.user_id = r.user_id
 ) p""", CELLS_CTE)

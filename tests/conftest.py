@@ -32,4 +32,4 @@ def scratch(spark):
 
 def tx_rows(spark, rows):
     from featurelake.schemas import TX_RAW
-    return spark.createDataFrame(rows, TX_RAW)
+    return spark.createDataFrame([(*r[:4], None if r[4] is None else str(r[4]), r[5]) for r in rows], TX_RAW)

@@ -16,9 +16,9 @@ def _speed(spark):
 def test_stream_rank_ids_newest_first(spark):
     out = {r.user_id + r.product_id: r for r in merge.stream_interactions(_speed(spark), "rank").collect()}
     assert len(out) == 3                                   # signup filtered
-    assert out["U1P2"].transaction_id == "STREAM_0" and out["U1P2"].rating == 4
-    assert out["U2P1"].transaction_id == "STREAM_1" and out["U2P1"].rating == 3
-    assert out["U1P1"].transaction_id == "STREAM_2" and out["U1P1"].rating == 2
+    assert out["U1P2"].transaction_id == "STREAM_0" and out["U1P2"].rating == "4"
+    assert out["U2P1"].transaction_id == "STREAM_1" and out["U2P1"].rating == "3"
+    assert out["U1P1"].transaction_id == "STREAM_2" and out["U1P1"].rating == "2"
     assert {r.amount for r in out.values()} == {"0.0"}
 
 
