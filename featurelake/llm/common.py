@@ -29,6 +29,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 BROADCAST_ROWS = 200_000
 
 
+#: Rows that a Python task turns into objects, or holds for a result, at a time.
+IN_ROWS, OUT_ROWS = 128, 1024
+
+
 def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint if a count proves the table small, else the table,
     which is then joined by shuffling."""
@@ -70,8 +74,8 @@ def rows_in(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 
 def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], schema) -> DataFrame:
     """Partition-wise Python over Arrow batches: ``fn`` turns an iterator of
-    input tuples into an iterator of output tuples; rows leave in slices of
-    about 4 MB so that a batch of long texts stays small."""
+    input tuples into an iterator of output tuples.  Rows come and leave in
+    small slices, so that a batch of long texts takes little memory."""
     out = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -80,12 +84,13 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], sc
     def run(batches):
         def rows():
             for b in batches:
-                yield from zip(*[c.to_pylist() for c in b.columns])
+                for at in range(0, b.num_rows, IN_ROWS):  # few texts are Python objects at a time
+                    yield from zip(*[c.to_pylist() for c in b.slice(at, IN_ROWS).columns])
 
         held = []
         for row in fn(rows()):
             held.append(row)
-            if len(held) >= 2048:
+            if len(held) >= OUT_ROWS:
                 yield _batch(held, arrow)
                 held = []
         if held:

@@ -73,7 +73,7 @@ class Features:
                 t = t[:3]
             i = known.get(t)
             if i is None:
-                if len(known) > 300_000:
+                if len(known) > 150_000:
                     known.clear()
                 i = known[t] = _slot(t)
             slots[i] = slots.get(i, 0.0) + 1 + math.log(c)

@@ -68,7 +68,7 @@ def vocabulary(sample: DataFrame, limit: int = MAX_TERMS) -> list[str]:
         for text, toxic in rows:
             found = {t for w in set(_WORD.findall(text.lower())) for t in terms_of(w)}
             seen.update((t, toxic) for t in found)
-            if len(seen) > 400_000:
+            if len(seen) > 200_000:
                 yield from ((t, n * y, n * (1 - y)) for (t, y), n in seen.items())
                 seen.clear()
         yield from ((t, n * y, n * (1 - y)) for (t, y), n in seen.items())
@@ -94,7 +94,7 @@ def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
             for w in _WORD.findall(text.lower()) if text else ():
                 ids = known.get(w)
                 if ids is None:
-                    if len(known) > 500_000:
+                    if len(known) > 150_000:
                         known.clear()
                     ids = known[w] = tuple(number[t] for t in terms_of(w) if t in number)
                 for i in ids:
