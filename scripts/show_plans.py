@@ -37,12 +37,11 @@ def plan_of(df) -> str:
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", 16)
+    spark = build_session("local[8]", 16, extra={"spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH", "/tmp/checkpoints")})
     root = fresh_dir(spark, "plans")
     raw = fixtures.interactions_raw(spark, sf)
     speed_path = f"{root}/speed"
-    fixtures.speed_snapshot(spark, sf).withColumn("arrival_batch", F.lit(0).cast("long")) \
-        .withColumn("arrival_seq", F.monotonically_increasing_id()).write.parquet(speed_path)
+    fixtures.arrivals(spark, sf).drop("arrival_batch").write.parquet(f"{speed_path}/stream=plans/arrival_batch=0")
     batch_path = f"{root}/batch"
     raw.write.parquet(batch_path)
     batch = spark.read.parquet(batch_path)
