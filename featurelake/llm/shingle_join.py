@@ -10,8 +10,8 @@ class first, so exact copies cost one row each.  Over the classes:
 2. Under order k two sets with Jaccard >= t share a shingle among their first
    ``n - ceil(t n) + 1``.  Shingles that two classes have in their prefixes
    under the first order make buckets.  Each class is first compared with its
-   buckets' leaders: the classes in which the bucket's shingle ranks lowest,
-   that is, which have the fewest rarer shingles of their own.  Of a group of
+   buckets' leaders: the classes that have the fewest shingles in the prefix
+   which they cannot have in common with others there.  Of a group of
    edited copies that is the least edited one, so this links the group
    through a number of pairs linear in its size.
 3. What shares a bucket but is not connected yet is all compared.  Buckets
@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from featurelake.llm.common import checked_broadcast, map_rows, stored, with_row_keys
@@ -69,7 +70,7 @@ class WordHashes(dict):
     """Word to 64-bit hash, remembered up to a bounded number of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -210,7 +211,7 @@ def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes, measure: Mea
             sig = xxhash.xxh3_128_digest(s.tobytes())
             if sig in seen:
                 continue
-            if len(seen) > 500_000:
+            if len(seen) > 100_000:
                 seen.clear()
             seen.add(sig)
             high = level[(s & mask).astype(np.int64)]
@@ -224,7 +225,7 @@ def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes, measure: Mea
 
 
 def prefix_entries(prefix: DataFrame) -> DataFrame:
-    """(token, cid, np): the first order's prefix, a row a shingle; ``np``
+    """(token, cid, at): the first order's prefix, a row a shingle; ``at``
     packs the size of the set and the rank in the prefix, which keeps the
     exchange narrow."""
     def run(batches):
@@ -236,11 +237,35 @@ def prefix_entries(prefix: DataFrame) -> DataFrame:
             rank = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
             cid, n = (np.repeat(b.column(c).to_numpy(), lens) for c in ("cid", "n"))
             full = pa.RecordBatch.from_arrays([pa.array(x) for x in (
-                np.frombuffer(b"".join(parts), np.int64), cid, (n << 32) | rank)], names=["token", "cid", "np"])
+                np.frombuffer(b"".join(parts), np.int64), cid, (n << 32) | rank)], names=["token", "cid", "at"])
             for at in range(0, full.num_rows, 100_000):
                 yield full.slice(at, 100_000)
 
-    return prefix.select("cid", "n", "p0").mapInArrow(run, "token long, cid long, np long")
+    return prefix.select("cid", "n", "p0").mapInArrow(run, "token long, cid long, at long")
+
+
+def met_entries(prefix: DataFrame, measure: Measure) -> DataFrame:
+    """(token, cid, at, lost, cut): the entries whose shingle other prefixes
+    have too.
+
+    ``cut`` is the last key of the class's prefix.  ``lost`` counts, for a
+    pair met at this shingle for the first time, what the class cannot have in
+    common with a class of a higher cut: shingles that rank lower, and those
+    of higher rank in the prefix that no other prefix has (the other class
+    has all of its shingles up to this cut in its own prefix).
+    """
+    entries = prefix_entries(prefix)
+    met = entries.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1").select("token")
+    shared = stored(entries.join(met, "token"), "shingle-shared")
+
+    def last_key(rows):
+        for cid, p0 in rows:
+            yield cid, int.from_bytes(p0[-8:], "little", signed=True)
+
+    cuts = map_rows(prefix.select("cid", "p0"), last_key, "cid long, cut long")
+    length = _size("at") - F.floor((_size("at") * measure.percent + 99) / 100) + 1
+    later = F.row_number().over(W.partitionBy("cid").orderBy(F.desc("at"))) - 1
+    return stored(shared.join(cuts, "cid").select("token", "cid", "at", (length - 1 - later).cast("long").alias("lost"), "cut"), "shingle-met")
 
 
 def _size(x: str):
@@ -252,11 +277,15 @@ def _rank(x: str):
 
 
 def _may_link(x: str, y: str, percent: int):
-    """Length and positional bounds at a common token of two packed entries.
-    At the first common token of a linked pair both hold."""
-    after = F.least(_size(x) - _rank(x), _size(y) - _rank(y))
-    return (100 * F.least(_size(x), _size(y)) >= percent * F.greatest(_size(x), _size(y))) & (
-        after * (100 + percent) >= percent * (_size(x) + _size(y)))
+    """Length and positional bounds at a common token of two ``met_entries``
+    with the given column prefixes.  At the first common token of a linked
+    pair both hold."""
+    n, m = _size(f"{x}at"), _size(f"{y}at")
+    low = F.col(f"{x}cut") <= F.col(f"{y}cut")
+    lost_x = F.when(low, F.col(f"{x}lost")).otherwise(_rank(f"{x}at"))
+    lost_y = F.when(low, _rank(f"{y}at")).otherwise(F.col(f"{y}lost"))
+    after = F.least(n - lost_x, m - lost_y)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (after * (100 + percent) >= percent * (n + m))
 
 
 def _allowed(percent: int):
@@ -348,23 +377,21 @@ def jaccard_components(docs: DataFrame, measure: Measure = Measure()) -> DataFra
     ).withColumn("cid", F.monotonically_increasing_id()), "shingle-classes")
     prefix = stored(prefixes(docs, classes, sketch_classes(parts.filter("kind = 1")), measure), "shingle-prefixes")
 
-    entries = prefix_entries(prefix)
-    met = entries.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1").select("token")
-    shared = stored(entries.join(met, "token"), "shingle-shared")
-
-    lead = shared.groupBy("token").agg(F.min(F.struct(_rank("np").alias("rank"), "cid", "np")).alias("lead")).select(
-        "token", F.col("lead.cid").alias("a"), F.col("lead.np").alias("lead_np"))
-    first = stored(shared.join(lead, "token").filter((F.col("cid") != F.col("a")) & _may_link("np", "lead_np", measure.percent)).select(
+    shared = met_entries(prefix, measure)
+    fields = ("at", "lost", "cut")
+    lead = shared.groupBy("token").agg(F.min(F.struct("lost", "cid", "at", "cut")).alias("lead")).select(
+        "token", F.col("lead.cid").alias("a"), *[F.col(f"lead.{f}").alias(f"a_{f}") for f in fields])
+    first = stored(shared.join(lead, "token").filter((F.col("cid") != F.col("a")) & _may_link("", "a_", measure.percent)).select(
         F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct(), "shingle-leaders")
     links = verified(docs, classes, prefix, first, measure)
     roots = components(links)
 
-    known = shared.join(roots, shared["cid"] == roots["node"], "left").select("token", "cid", "np", F.coalesce("root", "cid").alias("root"))
+    known = shared.join(roots, shared["cid"] == roots["node"], "left").select("token", "cid", *fields, F.coalesce("root", "cid").alias("root"))
     mixed = known.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
     rest = stored(known.join(mixed, "token"), "shingle-mixed")
-    a, b = (rest.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("cid", "root", "np")]) for x in "ab")
+    a, b = (rest.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("cid", "root", *fields)]) for x in "ab")
     pairs = a.join(b, "token").filter((F.col("a_cid") < F.col("b_cid")) & (F.col("a_root") != F.col("b_root"))
-                                      & _may_link("a_np", "b_np", measure.percent))
+                                      & _may_link("a_", "b_", measure.percent))
     pairs = stored(pairs.select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b")).distinct().join(
         first, ["a", "b"], "left_anti"), "shingle-candidates")
     roots = components(links.union(verified(docs, classes, prefix, pairs, measure)))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from featurelake.llm import shingle_join
@@ -54,6 +56,23 @@ def test_large_group_of_edited_copies_is_linked(spark):
     assert {r["component_id"] for r in got.collect()} == {0}
 
 
+def test_prefixes_of_different_cuts(spark):
+    """Random sets near the threshold over a small vocabulary."""
+    rng = random.Random(8)
+    pairs = []
+    for i in range(150):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randint(12, 40))] if i % 5 == 0 else pairs[i - i % 5][1].split()
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(400)}"
+        if rng.random() < 0.5:
+            words += [f"w{rng.randrange(400)}" for _ in range(rng.randint(0, 3))]
+        pairs.append((i, " ".join(words)))
+    docs = make_docs(spark, pairs)
+    for measure in (Measure(1, 80), Measure(2, 70)):
+        got = shingle_join.jaccard_components(docs, measure)
+        assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=str) == brute(pairs, measure)
+
+
 def test_empty_table(no_docs):
     assert shingle_join.jaccard_components(no_docs).count() == 0
     assert shingle_join.one_of_each(no_docs).count() == 0
