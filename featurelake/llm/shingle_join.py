@@ -370,6 +370,13 @@ def jaccard_components(docs: DataFrame, measure: Measure = Measure()) -> DataFra
     minimum (null only if a whole component has none); repeated rows keep a
     row each.  ``th`` is xxhash64 of the text, to tell rows of one id apart.
     """
+    return rooted(docs, measure).drop("root")
+
+
+def rooted(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
+    """The rows of ``jaccard_components`` with ``root``, which is a
+    component's own: ids may be null or stand in several components.  Rows
+    without shingles have none."""
     parts = stored(signatures(docs, measure), "shingle-signatures")
     rows = parts.filter("kind = 0").select("doc_id", "th", "n", "sig")
     classes = stored(rows.filter("n > 0").groupBy("sig").agg(
@@ -399,18 +406,20 @@ def jaccard_components(docs: DataFrame, measure: Measure = Measure()) -> DataFra
     named = classes.join(roots, classes["cid"] == roots["node"], "left").select(
         "sig", "least_id", F.coalesce("root", "cid").alias("root"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = named.join(least, "root").select("sig", "component_id")
+    named = named.join(least, "root").select("sig", "root", "component_id")
     return rows.join(named, "sig", "left").select(
         "doc_id", "th", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("root")).alias("root"))
 
 
 def one_of_each(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """``docs`` with one document of each group: the row whose id names the
-    component.  Documents without words all stay; of rows that repeat an id
-    in one component the smallest text hash stays, once."""
-    found = jaccard_components(docs, measure)
-    keep = found.filter("n_shingles > 0").groupBy("component_id").agg(
+    component, a row without id only where the whole component has none.
+    Documents without words all stay; of rows that repeat an id in one
+    component the smallest text hash stays, once."""
+    found = rooted(docs, measure)
+    keep = found.filter("n_shingles > 0").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("k")).select(
         F.xxhash64("k.doc_id").alias("id"), F.col("k.th").alias("th"))
     blank = F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]", "") == ""

@@ -4,7 +4,7 @@ import pytest
 
 from featurelake.llm import shingle_join
 from featurelake.llm.shingle_join import NEAR_COPY, Measure
-from tests.llm.conftest import make_docs, pairs_of
+from tests.llm.conftest import make_docs, pairs_of, prose
 
 
 def brute(pairs, measure):
@@ -49,6 +49,16 @@ def test_one_of_each_keeps_one_a_component_and_all_blanks(corpus):
     assert {300, 301, 302} <= set(ids) and ids.count(306) == 0 and ids.count(None) == 1
 
 
+def test_one_of_each_keeps_unlike_texts_without_an_id_or_under_one_id(spark):
+    rng = random.Random(6)
+    base = [prose(rng, 40) for _ in range(6)]
+    pairs = [(None, base[0]), (None, base[1]), (None, base[1] + " more"), (None, base[2]), (None, base[2]), (7, base[3]), (7, base[4]),
+             (8, base[4]), (9, base[5]), (None, base[5])]
+    kept = pairs_of(shingle_join.one_of_each(make_docs(spark, pairs)))
+    assert len(kept) == 6 and {t.removesuffix(" more") for _, t in kept} == set(base)
+    assert sorted((i for i, _ in kept if i is not None)) == [7, 7, 9]
+
+
 def test_large_group_of_edited_copies_is_linked(spark):
     text = " ".join(f"w{i}" for i in range(200))
     pairs = [(i, text.replace(f"w{i} ", f"e{i} ") if i else text) for i in range(190)]
