@@ -3,15 +3,22 @@
 The patterns find protected entities (mail, IP, card and phone numbers).
 Corpus co-occurrence then estimates how strongly a word reveals an entity:
 with D(t), D(e) the documents that hold word t or entity e, D(t, e) those
-where t stands near e, and N all documents,
+that hold e and, anywhere outside their entities, t, and N all documents,
 
     disclosure(t, e) = ln(N D(t, e) / (D(t) D(e))) / ln(N / D(e)),
 
 the pointwise mutual information as a share of the entity's information
 content: 1 when every document with t names e.  Words whose disclosure
-reaches ``threshold``, seen near e in at least ``support`` documents, are
-sanitised like the entity itself: where they stand near it they become spans
-of kind ``term``.  Numbers are generalised to digits' places, words removed.
+reaches ``threshold`` are sanitised like the entity itself: wherever they
+stand in a document that holds it they become spans of kind ``term``.
+Numbers are generalised to digits' places, words removed.
+
+An entity is often in one document only, which says nothing about the words
+there.  So the same is computed for pools of entities, and a pool stands for
+each entity in it: those of one mail domain, network, card issuer or number
+range, and all of a kind.  Copies of a text are documents in the formula but
+no evidence: a pair needs ``support`` unlike texts (for an entity in two or
+three, all of them), and in a pool as many as chance would not give.
 
 Only built-in functions run here.  ``regexp`` functions give matched texts
 without positions, so the text is also split at the matches: the lengths of
@@ -20,6 +27,8 @@ the pieces between them give the positions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,10 +45,11 @@ PATTERNS = {
 KINDS = list(PATTERNS)
 #: What a text must hold for a pattern to be tried (others: a first match).
 NEEDS = {"email": "@", "phone": "+"}
-CONTEXT = 48            # code points on either side of an entity
 THRESHOLD = 0.8
 SUPPORT = 4
+CHANCE = 1e-6           # that a pool's texts with a term all hold the pool by chance, at most
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+NO_WORD = WORD.replace("[^", "[")
 SPAN = "struct<kind:string,start:int,stop:int,value:string>"
 
 
@@ -108,55 +118,93 @@ def with_spans(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("th"), text.alias("text")).withColumn("spans", base_spans(F.col("text")))
 
 
-def near(found: DataFrame) -> DataFrame:
-    """Every word near an entity: (doc, kind, value, start, stop, term), with
-    code-point positions, from rows (doc, text, spans)."""
-    one = found.select("doc", "text", F.explode("spans").alias("s")).select("doc", "text", "s.*")
-    sides = F.array(
-        F.struct(F.greatest(F.lit(0), F.col("start") - CONTEXT).alias("at"), F.col("start").alias("to"), F.lit(True).alias("before")),
-        F.struct(F.col("stop").alias("at"), (F.col("stop") + CONTEXT).alias("to"), F.lit(False).alias("before")))
-    cut = one.select("doc", "kind", "value", F.explode(sides).alias("side"), "text").select(
-        "doc", "kind", "value", "side.*", F.substring(
-            F.col("text"), F.col("side.at") + 1, F.col("side.to") - F.col("side.at")).alias("piece"))
-    found = cut.select("doc", "kind", "value", "at", "to", "before", F.explode(_located(F.col("piece"), WORD, "term")).alias("t")).select(
-        "doc", "kind", "value", "at", "to", "before", (F.col("at") + F.col("t.start")).alias("start"),
-        (F.col("at") + F.col("t.stop")).alias("stop"), F.lower("t.value").alias("term"))
-    # the cut may go through a word: leave out what touches it
-    whole = F.when(F.col("before"), (F.col("at") == 0) | (F.col("start") > F.col("at"))).otherwise(F.col("stop") < F.col("to"))
-    return found.filter(whole).select("doc", "kind", "value", "start", "stop", "term")
-
-
-def disclosing(docs: DataFrame, words_near: DataFrame, entities: DataFrame,
+def _pool(span):
+    """What entities of one origin have in common."""
+    digits = F.regexp_replace(span["value"], "[^0-9]", "")
+    return F.when(span["kind"] == "email", F.lower(F.substring_index(span["value"], "@", -1))).when(
+        span["kind"] == "ip", F.substring_index(span["value"], ".", 3)).otherwise(F.substring(digits, 1, 6))
+
+
+def entity_texts(found: DataFrame) -> DataFrame:
+    """(th, copies, text, fine, kinds, terms) of each distinct text of rows
+    (th, text, spans): its entities and pools, the kinds, and the words
+    outside the entities."""
+    fine = F.flatten(F.transform("spans", lambda s: F.array(
+        F.concat_ws(":", F.lit("one"), s["kind"], s["value"]), F.concat_ws(":", F.lit("pool"), s["kind"], _pool(s)))))
+    kinds = F.transform("spans", lambda s: F.concat(F.lit("kind:"), s["kind"]))
+    bare = F.aggregate(F.array_distinct(F.transform("spans", lambda s: s["value"])), F.col("text"),
+                       lambda left, value: F.replace(left, value, F.lit(" ")))
+    copies = found.groupBy("th").agg(F.count("*").alias("copies"))
+    return found.dropDuplicates(["th"]).join(copies, "th").select(
+        "th", "copies", "text", F.array_distinct(fine).alias("fine"), F.array_distinct(kinds).alias("kinds"),
+        F.array_remove(F.array_distinct(F.split(F.lower(bare), NO_WORD)), "").alias("terms"))
+
+
+def grouped(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``entity_texts`` as (th, copies, groups, terms), and (g, d_e, s_e): the
+    documents and texts of each entity, pool and kind.  Groups of a single
+    text are left out, no term can be told from the others there."""
+    pairs = texts.select("th", "copies", F.explode("fine").alias("g"))
+    sums = (F.sum("copies").alias("d_e"), F.count("*").alias("s_e"))
+    fine = stored(pairs.groupBy("g").agg(*sums).filter("s_e > 1"), "pii-groups")
+    kinds = texts.select("copies", F.explode("kinds").alias("g")).groupBy("g").agg(*sums)
+    some = pairs.join(checked_broadcast(fine.select("g")), "g").groupBy("th").agg(F.collect_list("g").alias("more"))
+    rows = texts.join(some, "th", "left").select("th", "copies", "terms", F.concat(
+        "kinds", F.coalesce("more", F.array().cast("array<string>"))).alias("groups"))
+    return stored(rows, "pii-grouped"), fine.union(kinds)
+
+
+def disclosing(docs: DataFrame, rows: DataFrame, groups: DataFrame,
                threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """(kind, value, term, disclosure) over the threshold.  ``entities`` are
-    (doc, kind, value) rows.  Counts cover all documents."""
-    together = words_near.select("doc", "kind", "value", "term").distinct().groupBy("kind", "value", "term").agg(
-        F.count("*").alias("d_te")).filter(F.col("d_te") >= support)
+    """(g, term, disclosure) over the threshold, from ``grouped`` rows.
+    Counts cover all documents."""
     n = docs.count()
-    d_e = entities.distinct().groupBy("kind", "value").agg(F.count("*").alias("d_e"))
-    # the threshold as a bound on d_t, which is at least the documents that have the term near any entity
-    least = words_near.select("doc", "term").distinct().groupBy("term").agg(F.count("*").alias("least"))
-    together = stored(together.join(d_e, ["kind", "value"]).withColumn(
+    together = rows.select("groups", "copies", F.explode("terms").alias("term")).select(
+        "term", "copies", F.explode("groups").alias("g")).groupBy("g", "term").agg(
+        F.sum("copies").alias("d_te"), F.count("*").alias("s_te")).filter("s_te > 1")
+    together = together.join(groups.filter(F.col("d_e") < n), "g")
+    own = F.col("g").startswith("one:")
+    enough = F.when(own, F.col("s_te") >= F.least(F.lit(support), F.col("s_e"))).otherwise(
+        (F.col("s_te") >= support) & (F.col("s_te") * F.log(n / F.col("d_e")) >= -math.log(CHANCE)))
+    # the threshold as a bound on d_t, which is at least the documents that have the term beside any entity
+    least = rows.select("copies", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("copies").alias("least"))
+    together = stored(together.filter(enough).withColumn(
         "most", F.col("d_te") * F.pow(n / F.col("d_e"), F.lit(1 - threshold))).join(least, "term").filter(
-        (F.col("least") <= F.col("most") + 0.5) & (F.col("d_e") < n)).drop("least", "most"), "pii-together")
-    terms = checked_broadcast(together.select("term").distinct())
-    d_t = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), WORD.replace("[^", "[")))).alias("term")).join(
-        terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("d_t"))
+        F.col("least") <= F.col("most") + 0.5).drop("least", "most"), "pii-together")
+    d_t = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), NO_WORD))).alias("term")).groupBy(
+        "term").agg(F.count("*").alias("d_t"))
     scored = together.join(d_t, "term").withColumn(
         "disclosure", F.log(n * F.col("d_te") / (F.col("d_t") * F.col("d_e"))) / F.log(n / F.col("d_e")))
-    return scored.filter(F.col("disclosure") >= threshold).select("kind", "value", "term", "disclosure")
+    return scored.filter(F.col("disclosure") >= threshold).select("g", "term", "disclosure")
+
+
+def _standing(text, terms):
+    """Spans of all places in ``text`` where a word of ``terms`` stands."""
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    pairs = F.zip_with(words, F.slice(F.split(text, WORD, -1), 1, F.size(words)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+
+    def step(acc, m):
+        at = acc["at"] + F.length(m["g"])
+        stop = at + F.length(m["m"])
+        one = F.struct(F.lit("term").alias("kind"), at.alias("start"), stop.alias("stop"), F.lower(m["m"]).alias("value"))
+        return F.struct(stop.alias("at"), F.when(
+            F.array_contains(terms, F.lower(m["m"])), F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(pairs, start, step)["out"]
 
 
 def term_spans(docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """(doc, terms): the added spans of each document that has some.
-    ``found`` holds the rows with entities: (doc, text, spans)."""
-    words_near = stored(near(found), "pii-near")
-    entities = found.select("doc", F.explode("spans").alias("s")).select("doc", "s.kind", "s.value")
-    strong = disclosing(docs, words_near, entities, threshold, support)
-    hits = words_near.join(strong, ["kind", "value", "term"]).select("doc", F.struct(
-        F.lit("term").alias("kind"), F.col("start").cast("int").alias("start"), F.col("stop").cast("int").alias("stop"),
-        F.col("term").alias("value")).alias("s")).distinct()
-    return hits.groupBy("doc").agg(F.sort_array(F.collect_list("s")).alias("terms"))
+    """(th, terms): the added spans of each text that has some.  ``found``
+    holds the rows with entities: (th, text, spans)."""
+    texts = stored(entity_texts(found), "pii-texts")
+    rows, groups = grouped(texts)
+    strong = stored(disclosing(docs, rows, groups, threshold, support), "pii-strong")
+    words = rows.select("th", "groups", F.explode("terms").alias("term")).join(
+        checked_broadcast(strong.select("term").distinct()), "term", "left_semi")
+    hits = words.select("th", "term", F.explode("groups").alias("g")).join(
+        checked_broadcast(strong.select("g", "term")), ["g", "term"], "left_semi").groupBy("th").agg(F.collect_set("term").alias("words"))
+    return texts.join(hits, "th").select("th", _standing(F.col("text"), F.col("words")).alias("terms"))
 
 
 def listed(spans):
@@ -166,13 +214,13 @@ def listed(spans):
 def personal_data(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """(doc_id, th, spans, terms) for every row of ``docs``; ``spans`` are the
     fixed patterns', ``terms`` the added ones, both empty arrays for null,
-    empty and clean texts.  Equal rows count as documents of their own."""
-    rows = with_spans(docs).withColumn("doc", F.xxhash64("doc_id", "th"))
-    slim = stored(rows.select("doc_id", "th", "doc", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")), "pii-spans")
-    terms = term_spans(docs, slim.filter(F.size("spans") > 0).select("doc", "text", "spans"), threshold, support)
+    empty and clean texts.  Copies count as documents, as evidence once."""
+    slim = stored(with_spans(docs).select(
+        "doc_id", "th", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")), "pii-spans")
+    terms = stored(term_spans(docs, slim.filter(F.size("spans") > 0).select("th", "text", "spans"), threshold, support), "pii-terms")
     none = F.array().cast(f"array<{SPAN}>")
     apart = F.filter("terms", lambda t: ~F.exists("spans", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
-    return slim.join(terms, "doc", "left").select("doc_id", "th", "spans", F.coalesce(apart, none).alias("terms"))
+    return slim.join(checked_broadcast(terms), "th", "left").select("doc_id", "th", "spans", F.coalesce(apart, none).alias("terms"))
 
 
 def digest(found: DataFrame) -> DataFrame:

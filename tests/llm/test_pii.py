@@ -61,6 +61,24 @@ def test_terms_that_give_an_entity_away(spark):
     assert all(clean[100 + i] == text[100 + i] for i in range(40))
 
 
+def test_terms_far_from_entities_that_few_documents_hold(spark):
+    """Each address is in one document or two, the words stand far from it."""
+    rng = random.Random(9)
+    pairs = [(i, f"Zorblatt {prose(rng, 40)} mail u{i}@corp.example {prose(rng, 5)}") for i in range(8)]
+    pairs += [(50 + i, f"{prose(rng, 30)} mail two@other.example {prose(rng, 30)} Quibbex7") for i in range(2)]
+    pairs += [(60 + i, f"Lonely mail once@third.example {pairs[0][1][8:40]}") for i in range(1)] * 6   # copies are no evidence
+    pairs += [(100 + i, f"{prose(rng, 40)} mail") for i in range(200)]
+    docs, text = make_docs(spark, pairs), dict(pairs)
+    found = {r["doc_id"]: r["terms"] for r in pii.personal_data(docs).collect()}
+    values = {i: {s["value"] for s in t} for i, t in found.items()}
+    assert all("zorblatt" in values[i] for i in range(8)) and all("quibbex7" in values[50 + i] for i in range(2))
+    assert "lonely" not in values[60] and not any("mail" in v for v in values.values())
+    assert not any(values[100 + i] for i in range(200))
+    assert all(text[i][s["start"]:s["stop"]].lower() == s["value"] for i in found for s in found[i])
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitised(docs).collect()}
+    assert not any("Zorblatt" in clean[i] for i in range(8)) and "Quibbex7" not in clean[50] + clean[51]
+
+
 def test_rows_columns_and_empty(corpus, no_docs):
     out = pii.sanitised(corpus)
     assert out.columns == corpus.columns and sorted(map(str, pairs_of(out))) == sorted(map(str, pairs_of(corpus)))
