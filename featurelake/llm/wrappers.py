@@ -11,12 +11,14 @@ repeats is folded on the other side as well.
 Wrappers are aligned page by page inside a partition, and the partitions'
 wrappers with each other, so what is shuffled is one wrapper per partition
 and host, never a page.  With a host's wrapper the text slots are classed
-once as article or surroundings: by the elements around them, and, where a
-host marks no article, by whether the text is the same on every page.
+as article or surroundings: for pages that mark an article by the elements
+around them, for the host's other pages by whether the text is the same on
+every page that has it.  Copies of a page count as one page.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 from featurelake.llm.common import map_rows, stored
 
 BROADCAST_BYTES = 32 << 20   # wrappers that are broadcast, at most
-FIXED_CHARS = 200            # longer texts are slots from the start
-FIXED_PAGES = 3              # pages that must agree on a text to call it fixed
+FIXED_CHARS = 200            # longer texts are compared by a hash
+FIXED_PAGES = 3              # distinct pages that must agree on a text to call it fixed
 PERIOD = 6                   # elements in a repeated group, at most
 
 _TOKEN = re.compile(
@@ -128,7 +130,8 @@ def parse(page: str) -> list:
 
 
 # Expressions are lists, so that they travel as JSON:
-#   ["t", fixed text or null, pages]           a text slot
+#   ["t", fixed text or null, pages]           a text slot; the least hashes of
+#                                              its distinct pages, FIXED_PAGES at most
 #   ["n", name, marks, [expressions]]          an element
 #   ["r", [expressions]], ["o", [expressions]] a repeated and an optional group
 
@@ -153,19 +156,23 @@ def _deep(e) -> str:
     return " ".join(_deep(x) for x in e[1])
 
 
+def _pages(a, b):
+    return a if a == b else sorted({*a, *b})[:FIXED_PAGES]
+
+
 def _blend(a, b):
     """One expression for two of the same shape."""
     if a[0] == "t":
-        return ["t", a[1] if a[1] is not None and a[1] == b[1] else None, a[2] + b[2]]
+        return ["t", a[1] if a[1] is not None and a[1] == b[1] else None, _pages(a[2], b[2])]
     if a[0] == "n":
         return ["n", a[1], a[2], align(a[3], b[3])]
     return [a[0], [_blend(x, y) for x, y in zip(a[1], b[1])]]
 
 
 def _same_page(a, b):
-    """Like ``_blend`` for two parts of one page, which count as one page."""
+    """Like ``_blend`` for two parts of one page."""
     if a[0] == "t":
-        return ["t", a[1] if a[1] == b[1] else None, max(a[2], b[2])]
+        return ["t", a[1] if a[1] == b[1] else None, _pages(a[2], b[2])]
     if a[0] == "n":
         return ["n", a[1], a[2], align(a[3], b[3], _same_page)]
     return [a[0], [_same_page(x, y) for x, y in zip(a[1], b[1])]]
@@ -199,14 +206,19 @@ def _plain(e):
     return e[1][0] if e[0] == "r" and len(e[1]) == 1 else e
 
 
-def expression(node) -> list:
-    """A parsed page as expressions with its repeats folded."""
+def _fixed(text: str) -> str:
+    return text if len(text) <= FIXED_CHARS else "\0" + hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
+def expression(node, page: int = 0) -> list:
+    """A parsed page as expressions with its repeats folded; ``page`` is a
+    hash that tells it from other pages."""
     out = []
     for child in node[2]:
         if isinstance(child, str):
-            out.append(["t", child if len(child) <= FIXED_CHARS else None, 1])
+            out.append(["t", _fixed(child), [page]])
         else:
-            out.append(["n", child[0], list(child[1]), expression(child)])
+            out.append(["n", child[0], list(child[1]), expression(child, page)])
     return fold(out)
 
 
@@ -292,24 +304,23 @@ def _names(marks) -> set[str]:
     return set(marks)
 
 
-def has_article(items: list) -> bool:
-    for e in items:
-        if e[0] == "n":
-            if e[1] in AROUND_TAGS or _names(e[2]) & AROUND:
-                continue
-            if e[1] in ("article", "main") or _names(e[2]) & ARTICLE or has_article(e[3]):
-                return True
-        elif e[0] in "ro" and has_article(e[1]):
+def has_article(children: list) -> bool:
+    """Does a parsed page mark an article?"""
+    for c in children:
+        if isinstance(c, str) or c[0] in AROUND_TAGS or _names(c[1]) & AROUND:
+            continue
+        if c[0] in ("article", "main") or _names(c[1]) & ARTICLE or has_article(c[2]):
             return True
     return False
 
 
 def slots(items: list, marked: bool, inside: bool = False, out: list | None = None) -> list[bool]:
-    """For each text slot of a wrapper, in order: is it article text?"""
+    """For each text slot of a wrapper, in order: is it article text on pages
+    that mark an article, or on those that do not?"""
     out = [] if out is None else out
     for e in items:
         if e[0] == "t":
-            fixed = e[1] is not None and e[2] >= FIXED_PAGES
+            fixed = e[1] is not None and len(e[2]) >= FIXED_PAGES
             out.append(inside if marked else not fixed)
         elif e[0] == "n":
             own = e[1] in ("article", "main") or bool(_names(e[2]) & ARTICLE)
@@ -328,29 +339,31 @@ def _count(items: list) -> int:
 
 
 class Wrapper:
-    """A host's wrapper with its slots classed."""
+    """A host's wrapper with its slots classed, for pages that mark an
+    article and for those that do not."""
 
     def __init__(self, items: list):
         self.items = items
-        self.article = has_article(items)
-        self.classed = iter(slots(items, self.article))
-        self.items = self._tag(items)
+        self.classed: dict[bool, list] = {}
 
-    def _tag(self, items: list) -> list:
+    def _tag(self, items: list, classes) -> list:
         out = []
         for e in items:
             if e[0] == "t":
-                out.append(["t", next(self.classed), 0])
+                out.append(["t", next(classes), 0])
             elif e[0] == "n":
-                out.append(["n", e[1], e[2], self._tag(e[3])])
+                out.append(["n", e[1], e[2], self._tag(e[3], classes)])
             else:
-                out.append([e[0], self._tag(e[1])])
+                out.append([e[0], self._tag(e[1], classes)])
         return out
 
     def text(self, page: list) -> list[str]:
         """Article blocks of a parsed page."""
+        marked = has_article(page[2])
+        if marked not in self.classed:
+            self.classed[marked] = self._tag(self.items, iter(slots(self.items, marked)))
         out: list[str] = []
-        self._read(self.items, page[2], out)
+        self._read(self.classed[marked], page[2], out)
         return out
 
     def _read(self, items: list, children: list, out: list[str]) -> None:
@@ -400,7 +413,7 @@ def infer(pages: DataFrame) -> DataFrame:
         for host, page in rows:
             if not page:
                 continue
-            items = expression(parse(page))
+            items = expression(parse(page), zlib.crc32(page.encode("utf-8", "surrogatepass")))
             seen[host] = align(seen[host], items) if host in seen else items
             if len(seen) > 20_000:
                 yield from emit(seen)

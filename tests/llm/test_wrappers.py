@@ -39,6 +39,30 @@ def test_without_an_article_fixed_texts_are_surroundings(spark):
     assert got == {i: f"Story {i}\nPart {i}" for i in range(4)}
 
 
+def extracted(pages):
+    parsed = [wrappers.parse(p) for p in pages]
+    items = wrappers.expression(parsed[0], hash(pages[0]))
+    for tree, p in zip(parsed[1:], pages[1:]):
+        items = wrappers.align(items, wrappers.expression(tree, hash(p)))
+    found = wrappers.Wrapper(items)
+    return [found.text(tree) for tree in parsed]
+
+
+def test_pages_without_an_article_beside_marked_ones():
+    plain = [f"<div>Our site</div><section><p>Story {i}</p></section>" for i in range(4)]
+    marked = [f"<div>Our site</div><article><p>Told {i}</p></article><p>Other {i}</p>" for i in range(2)]
+    assert extracted(plain + marked) == [[f"Story {i}"] for i in range(4)] + [[f"Told {i}"] for i in range(2)]
+
+
+def test_copies_are_one_page_and_long_notices_are_fixed(spark):
+    copy = "<h1>Title</h1><div>Short</div>"
+    notice = "All rights reserved. " * 20
+    rows = [(i, "http://copies.example/", copy) for i in range(6)]
+    rows += [(10 + i, "http://long.example/", f"<div>{notice}</div><p>Story {i}</p>") for i in range(4)]
+    got = texts(spark, rows)
+    assert all(got[i] == "Title\nShort" for i in range(6)) and all(got[10 + i] == f"Story {i}" for i in range(4))
+
+
 def test_edges(spark):
     rows = [(1, None, None), (2, "", ""), (3, "nonsense", "plain text"), (4, "http://c.example/", "<p>a < b and c</p><p"), (None, None, "<"),
             (5, "http://c.example/", "<!-- never closed <p>x</p>"), (5, "http://c.example/", "<!-- never closed <p>x</p>")]
