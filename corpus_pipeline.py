@@ -60,5 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The neighbours, the component search over floating bounds and the encoder
-# have no SQL form; tests/llm compares the stages with brute-force versions.
+# have no SQL form; no test compares the rows of ``run`` with a brute-force version.
 ORACLE_SQL = None
