@@ -4,8 +4,8 @@ Candidates are the maximal runs of the characters that keys are written in.
 Over each candidate a window slides, per character class, with its Shannon
 entropy kept up to date from the counts: one character enters, one leaves,
 and only their two terms of the sum change.  Windows above the threshold of
-their class merge into a span of kind ``entropy`` unless the allow-list knows
-the string.  Spans of the fixed patterns always stay.
+their class merge into a span of kind ``entropy``.  What the allow-list knows is
+left out with its near surroundings.  Spans of the fixed patterns always stay.
 """
 
 from __future__ import annotations
@@ -30,12 +30,15 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Characters, window and least entropy (bits a character) per class.  A
 #: window of random hex digits has about 3.4 bits, of random base-64 digits
-#: 4.2; words of a language stay under 3.3 in either.
+#: 4.2, of base-32 or base-36 digits 3.8; words of a language stay under 3.3.
 CLASSES = {
     "hex": (frozenset("0123456789abcdef"), 20, 3.0),
     "HEX": (frozenset("0123456789ABCDEF"), 20, 3.0),
     "base64": (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 20, 3.8),
+    "base36": (frozenset("abcdefghijklmnopqrstuvwxyz0123456789"), 20, 3.5),
+    "BASE36": (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 20, 3.5),
 }
+NEAR = 16               # characters beside an allowed string that are left out with it
 #: Strings that look random and are known not to be secret.
 ALLOW = (
     r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",       # UUID
@@ -86,14 +89,25 @@ def windows(text: str, kind: str) -> list[tuple[int, int]]:
 
 
 def entropy_spans(text: str, start: int, stop: int, allow: list[re.Pattern]) -> list[tuple[int, int]]:
-    """Spans inside one candidate: base-64 windows need a digit and letters of
-    both cases, so that long words do not count."""
+    """Spans inside one candidate, outside of what the allow-list knows there."""
     string = text[start:stop]
-    if any(p.search(string) for p in allow):
-        return []
+    known = sorted((m.start() - NEAR, m.end() + NEAR) for p in allow for m in p.finditer(string))
+    out, at = [], 0
+    for a, b in [*known, (len(string), len(string))]:
+        out += _piece_spans(string[at:max(at, a)], start + at)
+        at = max(at, b)
+    return out
+
+
+def _piece_spans(string: str, start: int) -> list[tuple[int, int]]:
+    """Base-64 windows need a digit and letters of both cases, windows of one
+    case a digit in twenty characters and two at least, so that long words do not."""
     found = [*windows(string, "hex"), *windows(string, "HEX")]
     found += [(a, b) for a, b in windows(string, "base64")
               if any(c.isdigit() for c in string[a:b]) and any(c.islower() for c in string[a:b]) and any(c.isupper() for c in string[a:b])]
+    for kind in ("base36", "BASE36"):
+        found += [(a, b) for a, b in windows(string, kind)
+                  if max(2, (b - a) / 20) <= sum(c.isdigit() for c in string[a:b]) < b - a]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if merged and a <= merged[-1][1]:

@@ -56,5 +56,18 @@ def test_entropy_and_allow_list():
         assert secrets.scan_text(t, allow)[1] == [], t
 
 
+def test_tokens_of_one_case_and_allowed_strings_far_away():
+    allow = [re.compile(p) for p in secrets.ALLOW]
+    rng = random.Random(2)
+    for letters in ("abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+        keys = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(200)]
+        assert sum(bool(secrets.scan_text(f"see {k} there", allow)[1]) for k in keys) >= 198
+    key = "q9Xv2LmZ8RtY4KpWc7Nd"
+    text = f"sample/{'directory/' * 5}{key}"
+    assert any(a <= text.index(key) and b == len(text) for a, b, _ in secrets.scan_text(text, allow)[1])
+    assert secrets.scan_text(f"sample/{key[:16]}", allow)[1] == []
+    assert secrets.scan_text("internationalisationofcommunication2", allow)[1] == []
+
+
 def test_empty_table(no_docs):
     assert secrets.scan(no_docs).count() == 0
