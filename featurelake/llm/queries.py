@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelake.llm import cover_tree, decontaminate, oracle, ordinal, pieces, pii, secrets, sharding, shingle_join, toxicity, wrappers
+from featurelake.llm import (
+    byte_bpe, cover_tree, decontaminate, divergence, oracle, ordinal, pieces, pii, secrets, sharding, shingle_join, toxicity, vector_codes,
+    wrappers,
+)
 from featurelake.llm.common import table
 
 
@@ -54,6 +57,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("th")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", vector_codes.code_text("codes").alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
@@ -65,9 +84,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
     "op4_ngram_jaccard": oracle.JACCARD,
     "op6_decontamination": oracle.CONTAMINATION,
+    "op11_vector_codes": oracle.VECTOR_CODES,
+    "op12_source_divergence": oracle.DIVERGENCE,
 }
