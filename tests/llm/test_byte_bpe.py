@@ -1,6 +1,7 @@
 import base64
 import random
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -47,13 +48,31 @@ def test_least_key_after_point_updates():
             tree.put(at, keys[at])
 
 
+def test_columns_merge_like_the_tree():
+    rng = random.Random(6)
+    columns = byte_bpe.Columns(RANKS)
+    for size in (2, 4, 8, 16, 64):
+        pieces = ["".join(rng.choice(["the", "ing", "a", "s", "é", "日", "x", " ", "0"]) for _ in range(30)).encode()[:rng.randint(1, size)] for _ in range(300)]
+        own = [p for p in pieces if p not in RANKS]
+        assert columns.merge(own, size) == [np.array(byte_bpe.merged(p, RANKS), np.int32).tobytes() for p in own]
+
+
 def test_memory_of_pieces_is_bounded(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 10)
-    known = byte_bpe.Pieces(RANKS)
-    for i in range(100):
-        assert list(known[f"word{i}"]) == byte_bpe.merged(f"word{i}".encode(), RANKS)
-        assert len(known) <= 10
-    assert list(known["z" * 500]) == byte_bpe.merged(b"z" * 500, RANKS) and "z" * 500 not in known
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 40)
+    monkeypatch.setattr(byte_bpe, "LONG", 64)
+    own = byte_bpe.Codec(FILE, PATTERN)
+    rng = random.Random(8)
+    for _ in range(20):
+        texts = [" ".join(rng.choice(["", "word", "zz" * 60, "é"]) + str(rng.randrange(99)) for _ in range(rng.randint(0, 9))) for _ in range(5)] + [""]
+        ids, ends = own.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [LIB.encode_ordinary(t) for t in texts]
+        assert len(own.known) <= 40 and all(len(p) <= byte_bpe.LONGEST for p in own.known)
+
+
+def test_null_ids_decode_to_null(spark):
+    rows = spark.createDataFrame([(1, 2, None), (2, 2, []), (None, 3, LIB.encode_ordinary("né e")), (4, 4, None)], "doc_id long, th long, ids array<int>")
+    got = {r["doc_id"]: r["decoded"] for r in byte_bpe.decode(rows).collect()}
+    assert got[1] is None and got[4] is None and bytes(got[2]) == b"" and bytes(got[None]) == "né e".encode()
 
 
 def test_empty_table(no_docs):
