@@ -12,18 +12,21 @@ one and the same share.  So a pair starts from "both lack all terms", each
 group adds what its own terms change (by distinct shares, not by terms), and
 only terms that both hold need a correction per pair.
 
-Built-in functions only; every number is an integer, and all are exact.
+Every number is an integer, and all are exact.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from featurelake.llm.common import checked_broadcast, lower_ascii, stored
+from featurelake.llm.common import IN_ROWS, checked_broadcast, stored
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"       # the fixed pattern of a term
 MIN_DOCS, TOP_TERMS = 10, 10
 
 
@@ -43,27 +46,70 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     """(lang, text, sources): each distinct text of a language once, with
     (source, copies) of the sources that hold it.
 
-    Copies are counted by digest before anything is shuffled, so a group of
-    any size ships one row per task; the text itself is shuffled once.
+    Copies are counted by digest, so a group of any size ships one small row
+    per task.  A text that is there once goes on from the scan as it is; only
+    those that repeat are shuffled, and one of each is kept.
     """
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
     copies = rows.groupBy("lang", "digest", "source").agg(F.count("*").alias("copies"))
-    sources = copies.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "copies")).alias("sources"))
-    texts = rows.groupBy("lang", "digest").agg(F.first("text").alias("text"))
-    return texts.join(sources, ["lang", "digest"]).select("lang", "text", "sources")
+    repeated = stored(copies.groupBy("lang", "digest").agg(
+        F.collect_list(F.struct("source", "copies")).alias("sources"), F.sum("copies").alias("n")).filter("n > 1").drop("n"), "repeated")
+    known = checked_broadcast(repeated.select("lang", "digest"))
+    once = rows.join(known, ["lang", "digest"], "left_anti").select(
+        "lang", "text", F.array(F.struct("source", F.lit(1).cast("long").alias("copies"))).alias("sources"))
+    texts = rows.join(known, ["lang", "digest"], "left_semi").groupBy("lang", "digest").agg(F.first("text").alias("text"))
+    return once.union(texts.join(repeated, ["lang", "digest"]).select("lang", "text", "sources"))
+
+
+#: Terms counted in a task before they go on.
+HELD_TERMS = 300_000
+#: What is no term becomes a space: bytes of the fixed class, as all of a
+#: character beyond ASCII has its bytes above 0x7F.
+_SPACED = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
     """(lang, source, term, count, docs): occurrences, and documents that hold
-    the term, copies counted.  Words are sorted within their text, so the
-    first of equal ones is known by its neighbour."""
-    words = texts.select("lang", "sources", F.sort_array(F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(TERM), F.lit(0))).alias("words"))
-    former = F.concat(F.array(F.lit(None).cast("string")), F.col("words"))
-    pairs = words.select("lang", "sources", F.inline(F.arrays_zip(F.col("words").alias("term"), former.alias("former")))).filter("term IS NOT NULL")
-    each = pairs.select("lang", "term", (F.col("former").isNull() | (F.col("former") != F.col("term"))).alias("leads"), F.inline("sources"))
-    return each.groupBy("lang", "source", "term").agg(
-        F.sum("copies").alias("count"), F.sum(F.when(F.col("leads"), F.col("copies")).otherwise(F.lit(0))).alias("docs"))
+    the term, copies counted.  A text is split once, for all its copies; a
+    task counts up to HELD_TERMS terms before it hands them on."""
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("count", pa.int64()), ("docs", pa.int64())])
+
+    def handed(held):
+        for (lang, source), (count, docs) in held.items():
+            n = len(count)
+            whole = pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(lang, pa.string()), n), pa.repeat(pa.scalar(source, pa.string()), n), pa.array(count.keys(), pa.binary()),
+                pa.array(count.values(), pa.int64()), pa.array(map(docs.__getitem__, count), pa.int64())], schema=schema)
+            yield from (whole.slice(at, 10_000) for at in range(0, n, 10_000))
+
+    def run(batches):
+        held, waiting = {}, 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, IN_ROWS):
+                for lang, text, sources in zip(*(c.to_pylist() for c in batch.slice(at, IN_ROWS).columns)):
+                    words = text.lower().translate(_SPACED).split()
+                    once, own = set(words), None
+                    for s in sources:
+                        count, docs = held.setdefault((lang, s["source"]), (Counter(), Counter()))
+                        if s["copies"] == 1:
+                            count.update(words)
+                            docs.update(once)
+                        else:
+                            own = own or Counter(words)
+                            count.update({w: n * s["copies"] for w, n in own.items()})
+                            docs.update(dict.fromkeys(once, s["copies"]))
+                    waiting += len(once) * len(sources)
+                    if waiting > HELD_TERMS:
+                        waiting = sum(len(c) for c, _ in held.values())
+                        if waiting > HELD_TERMS // 2:
+                            yield from handed(held)
+                            held, waiting = {}, 0
+        yield from handed(held)
+
+    found = texts.select("lang", F.col("text").cast("binary").alias("text"), "sources").mapInArrow(
+        run, "lang string, source string, term binary, count long, docs long")
+    return found.groupBy("lang", "source", F.col("term").cast("string").alias("term")).agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
 
 
 def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> DataFrame:
@@ -79,8 +125,7 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS)
     count as documents of their own.  Very long texts are split in one row; a
     language with a single source has no pairs; an empty table gives none.
     """
-    texts = stored(distinct_texts(docs), "texts")
-    counts = stored(term_counts(texts), "term-counts")
+    counts = stored(term_counts(distinct_texts(docs)), "term-counts")
     kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("d"), F.sum("count").alias("lang_count")).filter(
         F.col("d") >= min_docs).drop("d")
     rows = stored(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "count", "lang_count"), "kept-terms")
@@ -88,7 +133,7 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS)
     langs = rows.select("lang", "term", "lang_count").distinct().groupBy("lang").agg(
         F.count("*").alias("terms"), F.sum("lang_count").alias("lang_total"))
     totals = rows.groupBy("lang", "source").agg(F.sum("count").alias("total"))
-    groups = texts.select("lang", F.explode("sources.source").alias("source")).distinct()
+    groups = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
     groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["total", "terms", "lang_total"])
     groups = stored(groups.withColumn("p0", share("0", "total", "terms")), "groups")
 
