@@ -36,7 +36,6 @@ def _with_ts(df: DataFrame, ts: str) -> DataFrame:
 
 def user_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame:
     """U1-U12 per ``user_id`` (null users are not a group), missing -> 0."""
-    now = ts_literal(as_of)
     g = (_with_ts(df, ts).filter(F.col("user_id").isNotNull())
          .groupBy("user_id").agg(
             F.count("transaction_id").alias("user_total_interactions"),
@@ -48,6 +47,12 @@ def user_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame
             F.min("_ts").alias("user_first_interaction"),
             F.max("_ts").alias("user_last_interaction"),
          ))
+    return user_scores(g, as_of)
+
+
+def user_scores(g: DataFrame, as_of=None) -> DataFrame:
+    """U9-U12, what follows from a user's aggregates; missing -> 0."""
+    now = ts_literal(as_of)
     g = (g.withColumn("user_tenure_days", elapsed_days(now, "user_first_interaction"))
           .withColumn("user_recency_days", elapsed_days(now, "user_last_interaction"))
           .withColumn("user_activity_rate",
@@ -66,7 +71,6 @@ def user_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame
 
 def item_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame:
     """I1-I12 per ``product_id``, missing -> 0."""
-    now = ts_literal(as_of)
     positive_amount = F.when(F.col("amount") > 0, F.col("amount"))
     g = (_with_ts(df, ts).filter(F.col("product_id").isNotNull())
          .groupBy("product_id").agg(
@@ -79,6 +83,12 @@ def item_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame
             F.min("_ts").alias("item_first_interaction"),
             F.max("_ts").alias("item_last_interaction"),
          ))
+    return item_scores(g, as_of)
+
+
+def item_scores(g: DataFrame, as_of=None) -> DataFrame:
+    """I9-I12, what follows from an item's aggregates; missing -> 0."""
+    now = ts_literal(as_of)
     g = (g.withColumn("item_age_days", elapsed_days(now, "item_first_interaction"))
           .withColumn("item_recency_days", elapsed_days(now, "item_last_interaction"))
           .withColumn("item_velocity",
@@ -94,7 +104,6 @@ def item_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame
 
 def interaction_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame:
     """X1-X8 per (``user_id``, ``product_id``), missing -> 0."""
-    now = ts_literal(as_of)
     g = (_with_ts(df, ts)
          .filter(F.col("user_id").isNotNull() & F.col("product_id").isNotNull())
          .groupBy("user_id", "product_id").agg(
@@ -104,6 +113,12 @@ def interaction_features(df: DataFrame, as_of=None, ts: str = "timestamp") -> Da
             F.min("_ts").alias("interaction_first"),
             F.max("_ts").alias("interaction_last"),
          ))
+    return pair_scores(g, as_of)
+
+
+def pair_scores(g: DataFrame, as_of=None) -> DataFrame:
+    """X6-X8, what follows from a pair's aggregates; missing -> 0."""
+    now = ts_literal(as_of)
     g = (g.withColumn("interaction_recency_days", elapsed_days(now, "interaction_last"))
           .withColumn("interaction_span_days", elapsed_days("interaction_last", "interaction_first")))
     return fill_numeric_zero(g)
