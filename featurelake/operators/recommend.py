@@ -1,34 +1,29 @@
 """Truncated-SVD recommender.
 
 The user x item matrix A is never materialised densely: it lives as sparse
-cells ``(user_id, product_id, rating)``.  The factors come from randomised
-subspace iteration: A V and A' Y are joins with combining sums, so a hot user
-or product is split over tasks, and only matrices of (components + oversample)
-squared reach the driver.  The model is stored as tables (item factors V,
-singular values, user scores) and predictions are dot products over joins.
+cells ``(user_id, product_id, rating)``, or as sparse vectors (``matrix``).
+``svd`` fits the factors, ``topk`` searches them.  The model is stored as
+tables (item factors V, singular values, user scores) and predictions are dot
+products over joins.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featurelake.functions import to_double
-from featurelake.operators.indexing import with_position
-from featurelake.schemas import RELEVANCE_THRESHOLD, SVD_COMPONENTS, TOP_K
-from featurelake.session import fresh_dir
+from featurelake.operators.matrix import positions, sparse_columns, sparse_rows
+from featurelake.operators.svd import NotConverged, SVDModel, fit_svd
+from featurelake.operators.topk import pruned_share, recommend, search
+from featurelake.schemas import RELEVANCE_THRESHOLD, TOP_K
 from featurelake.sources.lake import new_version, newest_version
 
-# Block of item factors that a scoring pass ships to its tasks.
-BLOCK_BYTES = 64 * 1024 * 1024
-# Scores a task holds at a time: users x items of a slice.
-SLICE_USERS, SLICE_ITEMS = 512, 4096
-# Subspace iteration: extra directions, passes at most, relative change that ends it.
-OVERSAMPLE, PASSES, TOLERANCE = 8, 7, 1e-10
+__all__ = [
+    "NotConverged", "SVDModel", "dot", "explained_variance", "fit_svd", "item_index", "load_model", "observed_cells",
+    "precision_recall_at_k", "predict", "project_users", "pruned_share", "rating_cells", "recommend", "save_model",
+    "scored_cells", "search", "sparse_columns", "sparse_rows", "split", "user_item_matrix",
+]
 
 
 # -- R1 / R2 / R7: cells and the matrix --------------------------------------
@@ -66,135 +61,11 @@ def split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42,
     return df.filter(draw >= test_fraction), df.filter(draw < test_fraction)
 
 
-# -- R4 / R5: fitting ---------------------------------------------------------
-
-@dataclass
-class SVDModel:
-    item_factors: DataFrame        # product_id, item_idx, v ARRAY<DOUBLE> (row of V)
-    user_scores: DataFrame         # user_id, u ARRAY<DOUBLE> (row of U·Σ)
-    singular_values: list[float]
-    n_users: int
-    n_items: int
-
-    @property
-    def k(self) -> int:
-        return len(self.singular_values)
-
+# -- R2: sparse form, R4 / R5: fitting, R11: top-K -- see matrix, svd, topk
 
 def item_index(cells: DataFrame) -> DataFrame:
     """Dense 0-based item index in product_id order (distributed positions)."""
-    items = cells.select("product_id").distinct()
-    return with_position(items, [F.col("product_id").asc()], name="item_idx")
-
-
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _times(rows: DataFrame, key: str, vector: str, matrix: np.ndarray) -> DataFrame:
-    """(key, vector x matrix) for a small matrix, in Arrow batches."""
-    def run(batches):
-        for pdf in batches:
-            if len(pdf):
-                pdf[vector] = list(np.vstack(pdf[vector].to_numpy()) @ matrix)
-            yield pdf
-
-    return rows.select(key, vector).mapInPandas(run, f"{key} string, {vector} array<double>")
-
-
-def _product(cells: DataFrame, factors: DataFrame, on: str, to: str, width: int) -> DataFrame:
-    """Sparse matrix times thin matrix: per ``to`` the sums of rating x factor."""
-    joined = cells.join(factors.select(on, "x"), on)
-    sums = [F.sum(F.col("rating") * F.col("x")[c]).alias(f"s{c}") for c in range(width)]
-    return joined.groupBy(to).agg(*sums).select(to, F.array(*[F.col(f"s{c}") for c in range(width)]).alias("x"))
-
-
-def _gram(rows: DataFrame, width: int) -> np.ndarray:
-    """X'X of the vectors in ``x``, summed where they lie."""
-    def run(batches):
-        import pandas as pd
-
-        total = np.zeros((width, width))
-        for pdf in batches:
-            if len(pdf):
-                x = np.vstack(pdf["x"].to_numpy())
-                total += x.T @ x
-        yield pd.DataFrame({"i": np.arange(width), "g": list(total)})
-
-    parts = rows.select("x").mapInPandas(run, "i int, g array<double>")
-    sums = parts.groupBy("i").agg(*[F.sum(F.col("g")[c]).alias(f"s{c}") for c in range(width)]).orderBy("i").collect()
-    return np.array([list(r)[1:] for r in sums]) if sums else np.zeros((width, width))
-
-
-def _whiten(gram: np.ndarray) -> np.ndarray:
-    """M with M' G M = I on the range of G (rank-deficient directions go)."""
-    w, q = np.linalg.eigh((gram + gram.T) / 2)
-    good = w > max(w.max(), 0.0) * 1e-14
-    return q[:, good] / np.sqrt(w[good]) if good.any() else np.zeros((len(w), 0))
-
-
-def _orthonormal(v: DataFrame, width: int) -> tuple[DataFrame, int]:
-    """The item vectors made orthonormal; the second round removes the
-    rounding that the first leaves when they were nearly dependent."""
-    for _ in range(2):
-        basis = _whiten(_gram(v, width))
-        width = basis.shape[1]
-        if not width:
-            break
-        v = _kept(_times(v, "product_id", "x", basis), "svd-v")
-    return v, width
-
-
-def fit_svd(cells: DataFrame, k: int = SVD_COMPONENTS, oversample: int = OVERSAMPLE) -> SVDModel:
-    """R4 + R5: uncentered truncated SVD of the user x item matrix.
-
-    Each pass multiplies by A and by A' (two joins, two combining
-    aggregations) and makes the item vectors orthonormal again; it ends when
-    the singular values no longer change, or after PASSES.  More ``oversample``
-    directions make each pass converge faster; with as many as there are items
-    the first is exact.  Start vectors are hashes of the product id, so a refit
-    gives the same factors.
-    """
-    index = _kept(item_index(cells), "svd-items")
-    n_items, n_users = index.count(), cells.select("user_id").distinct().count()
-    width = min(k + oversample, n_items, n_users)
-    k = max(0, min(k, width))
-    seeds = [(F.xxhash64("product_id", F.lit(c)).cast("double") / F.lit(float(1 << 63))) for c in range(width)]
-    v = index.select("product_id", F.array(*seeds).cast("array<double>").alias("x"))
-    none = F.array().cast("array<double>")
-    empty = SVDModel(index.select("product_id", "item_idx", none.alias("v")),
-                     cells.select("user_id").distinct().select("user_id", none.alias("u")), [], n_users, n_items)
-    if not width:                                   # no cell
-        return empty
-    former = None
-    for p in range(PASSES):
-        v, width = _orthonormal(v, width)
-        if not width:                               # zeros only
-            return empty
-        y = _kept(_product(cells, v, "product_id", "user_id", width), "svd-y")
-        gram = _gram(y, width)                      # = V'A'A V
-        values = np.sort(np.linalg.eigvalsh((gram + gram.T) / 2))[::-1][:k]
-        settled = former is not None and len(former) == len(values) and np.allclose(values, former, rtol=TOLERANCE, atol=0)
-        if settled or width == n_items or p == PASSES - 1:   # all of the item space is exact at once
-            break
-        former = values
-        w = _product(cells, y, "user_id", "product_id", width)
-        v = _kept(index.select("product_id").join(w, "product_id", "left").withColumn(
-            "x", F.coalesce("x", F.array(*[F.lit(0.0)] * width))), "svd-w")
-    values, q = np.linalg.eigh((gram + gram.T) / 2)
-    order = [i for i in np.argsort(-values)[:k] if values[i] > max(values.max(), 0.0) * 1e-14]
-    q = q[:, order]
-    rotated = _kept(_times(v, "product_id", "x", q), "svd-v")
-    # deterministic signs: the largest entry of each item component is positive
-    if order:
-        top = rotated.agg(*[F.max_by(F.col("x")[c], F.struct(F.abs(F.col("x")[c]), "product_id")).alias(f"s{c}") for c in range(len(order))]).first()
-        q = q * np.array([-1.0 if (t or 0.0) < 0 else 1.0 for t in top])
-        rotated = _kept(_times(v, "product_id", "x", q), "svd-v")
-    items = index.join(rotated, "product_id").select("product_id", "item_idx", F.col("x").alias("v"))
-    users = _kept(_times(y, "user_id", "x", q).withColumnRenamed("x", "u"), "svd-users")
-    return SVDModel(_kept(items, "svd-factors"), users, [float(np.sqrt(values[i])) for i in order], n_users, n_items)
+    return positions(cells, "product_id", "item_idx")
 
 
 def project_users(cells: DataFrame, item_factors: DataFrame, k: int) -> DataFrame:
@@ -251,87 +122,6 @@ def explained_variance(cells: DataFrame, model: SVDModel) -> DataFrame:
     return out.withColumn("cumulative_ratio", F.sum("explained_variance_ratio").over(w))
 
 
-# -- R11: top-K ------------------------------------------------------------------
-
-def _topk_fn(block, k: int):
-    """Running top-k of user slices against item slices of a broadcast block
-    (ids ascending, V rows); what a task holds does not grow with either side."""
-    import pandas as pd
-
-    def best_of(scores, idx):
-        """Per row the k best, score descending, then id ascending; exact ties."""
-        if scores.shape[1] > k:
-            least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-            rows, cols = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
-        else:
-            rows, cols = np.nonzero(scores > -np.inf)
-        order = np.lexsort((idx[rows, cols], -scores[rows, cols], rows))
-        rows, cols = rows[order], cols[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        keep = place < k
-        top = np.full((len(scores), k), -np.inf)
-        at = np.zeros((len(scores), k), np.int64)
-        top[rows[keep], place[keep]] = scores[rows[keep], cols[keep]]
-        at[rows[keep], place[keep]] = idx[rows[keep], cols[keep]]
-        return top, at
-
-    def score(batches):
-        ids, v = block.value
-        for pdf in batches:
-            for lo in range(0, len(pdf), SLICE_USERS):
-                part = pdf.iloc[lo:lo + SLICE_USERS]
-                u = np.vstack(part["u"].to_numpy())
-                top, at = np.full((len(part), 0), -np.inf), np.zeros((len(part), 0), np.int64)
-                for first in range(0, len(ids), SLICE_ITEMS):
-                    s = u @ v[first:first + SLICE_ITEMS].T
-                    for r, seen in enumerate(part["seen"]):
-                        if seen is not None and len(seen):
-                            s[r, np.isin(ids[first:first + SLICE_ITEMS], np.asarray(seen))] = -np.inf
-                    s[~np.isfinite(s)] = -np.inf
-                    idx = np.broadcast_to(np.arange(first, first + s.shape[1]), s.shape)
-                    top, at = best_of(np.hstack([top, s]), np.hstack([at, idx]))
-                rows, cols = np.nonzero(top > -np.inf)
-                yield pd.DataFrame({"user_id": part["user_id"].to_numpy()[rows], "product_id": ids[at[rows, cols]],
-                                    "score": top[rows, cols]})
-
-    return score
-
-
-def recommend(model: SVDModel, k: int = TOP_K, exclude_seen: bool = False,
-              cells: DataFrame | None = None, block_bytes: int = BLOCK_BYTES,
-              users: DataFrame | None = None) -> DataFrame:
-    """Top-``k`` items per user by predicted score (seen items included
-    by default).  Ties: higher score first, then smaller product_id; scores
-    that are not finite are never recommended.
-
-    The catalog is taken in blocks of ``block_bytes``: each is read by the
-    driver, broadcast, scored against all users in fixed slices, its at most
-    k rows a user are stored, and the block is released.  One rank at the end
-    keeps k of them.
-    """
-    spark = model.item_factors.sparkSession
-    n_blocks = max(1, math.ceil(model.n_items * (8 * max(1, model.k) + 64) / block_bytes))
-    u = users if users is not None else model.user_scores
-    if exclude_seen:
-        if cells is None:
-            raise ValueError("exclude_seen needs the rating cells")
-        u = u.join(cells.groupBy("user_id").agg(F.collect_set("product_id").alias("seen")), "user_id", "left")
-    else:
-        u = u.withColumn("seen", F.lit(None).cast("array<string>"))
-    u = u.select("user_id", "u", "seen")
-    out = None
-    for b in range(n_blocks):
-        rows = (model.item_factors.filter(F.pmod(F.col("item_idx"), F.lit(n_blocks)) == b)
-                     .orderBy("product_id").select("product_id", "v").collect())
-        block = spark.sparkContext.broadcast((np.array([r[0] for r in rows], dtype=object),
-                                              np.array([r[1] for r in rows], dtype=float).reshape(len(rows), -1)))
-        part = _kept(u.mapInPandas(_topk_fn(block, k), "user_id string, product_id string, score double"), "top-k")
-        block.unpersist()
-        out = part if out is None else out.unionByName(part)
-    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("product_id").asc())
-    return out.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
-
-
 # -- R12-R14: precision and recall at K ---------------------------------------
 
 def precision_recall_at_k(cells: DataFrame, topk: DataFrame, k: int = TOP_K,

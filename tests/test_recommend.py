@@ -59,14 +59,14 @@ def _brute_topk(A, R, its, k):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [64 * 1024 * 1024, 200])
-def test_topk_and_precision_recall_match_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("block_items", [4096, 5])
+def test_topk_and_precision_recall_match_brute_force(spark, block_items):
     cells, rows = _cells(spark, seed=11, users=25, items=12, density=0.6)
     A, us, its = _dense(rows)
     model = recommend.fit_svd(cells, k=3)
     U, s, Vt = np.linalg.svd(A, full_matrices=False)
     R = (U[:, :3] * s[:3]) @ Vt[:3]
-    top = recommend.recommend(model, k=5, block_bytes=block_bytes)
+    top = recommend.recommend(model, k=5, block_items=block_items)
     got = {}
     for r in top.orderBy("user_id", "rank").collect():
         got.setdefault(r.user_id, []).append(r.product_id)
@@ -142,24 +142,54 @@ def test_topk_large_block_exact_ties(spark):
         assert got[uid] == [ids[i] for i in ref]
 
 
-def test_top_k_memory_does_not_grow_with_catalog_or_batch():
+def test_top_k_memory_does_not_grow_with_the_block():
     import tracemalloc
 
-    import pandas as pd
-    rng = np.random.default_rng(0)
-
-    class Block:
-        value = (np.array([f"P{i:05d}" for i in range(20_000)], dtype=object), rng.normal(size=(20_000, 12)))
+    from featurelake.operators import topk
 
-    users = pd.DataFrame({"user_id": [f"U{i}" for i in range(3_000)], "u": list(rng.normal(size=(3_000, 12))), "seen": None})
-    fn = recommend._topk_fn(Block, 5)
+    rng = np.random.default_rng(0)
+    ids, v, u = np.array([f"P{i:05d}" for i in range(100_000)], dtype=object), rng.normal(size=(100_000, 12)), rng.normal(size=(512, 12))
     tracemalloc.start()
-    out = pd.concat(fn([users]))
+    rows, items, scores = topk._best(u, [None] * 512, np.full(512, -np.inf), ids, v, 5)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert len(out) == 15_000 and peak < 300e6
-    scores = users["u"].iloc[7] @ Block.value[1].T
-    assert out[out.user_id == "U7"].product_id.tolist() == Block.value[0][np.argsort(-scores)[:5]].tolist()
+    assert len(rows) == 5 * 512 and peak < 100e6          # all scores at once would be 400 MB
+    assert items[rows == 7].tolist() == ids[np.argsort(-(v @ u[7]))[:5]].tolist()
+
+
+def _model(spark, u, v):
+    items = spark.createDataFrame([(f"P{i:04d}", i, [float(x) for x in row]) for i, row in enumerate(v)], "product_id string, item_idx long, v array<double>")
+    users = spark.createDataFrame([(f"U{i:04d}", [float(x) for x in row]) for i, row in enumerate(u)], "user_id string, u array<double>")
+    return recommend.SVDModel(items, users, [1.0] * len(v[0]), len(u), len(v))
+
+
+@pytest.mark.parametrize("kind", ["ties", "negative", "falling"])
+def test_blocks_that_cannot_pass_the_bar_are_left_out(spark, kind):
+    rng = np.random.default_rng(4)
+    u, v = rng.integers(-2, 3, (70, 3)).astype(float), rng.integers(-2, 3, (300, 3)).astype(float)
+    if kind == "negative":                       # no score above 0: nothing can be pruned
+        u, v = -np.abs(u), np.abs(v)
+    if kind == "falling":
+        u, v = rng.normal(size=(70, 3)), rng.normal(size=(300, 3)) * np.exp(-np.arange(300) / 20)[:, None]
+    top, work = recommend.search(_model(spark, u, v), 4, block_items=16)
+    got = {}
+    for r in top.orderBy("user_id", "rank").collect():
+        got.setdefault(int(r.user_id[1:]), []).append((int(r.product_id[1:]), r.score))
+    for i in range(len(u)):
+        s = [float(sum(a * b for a, b in zip(u[i], w))) for w in v]
+        order = sorted(range(len(v)), key=lambda j: (-s[j], j))[:4]
+        assert [j for j, _ in got[i]] == order
+        assert np.allclose([x for _, x in got[i]], [s[j] for j in order], rtol=0, atol=1e-12)
+    share = recommend.pruned_share(work).first()
+    assert share.pairs > share.scored if kind == "falling" else share.pairs >= share.scored
+
+
+def test_scores_equal_predictions_bit_by_bit(spark):
+    rng = np.random.default_rng(6)
+    model = _model(spark, rng.normal(size=(40, 7)), rng.normal(size=(50, 7)))
+    top = recommend.recommend(model, 3, block_items=8)
+    both = recommend.predict(top, model)
+    assert both.filter("score <> prediction").count() == 0 and both.count() == 120
 
 
 def test_scores_that_are_not_finite_are_left_out(spark):
@@ -182,6 +212,76 @@ def test_wide_matrix_fits_by_passes(spark):
     assert np.allclose(v.T @ v, np.eye(4), atol=1e-10)
 
 
+def test_slowly_falling_spectrum_converges(spark):
+    # neighbouring singular values lie within a percent: no few passes of plain iteration would do
+    rng = np.random.default_rng(9)
+    rows = [(f"U{u:03d}", f"P{i:03d}", float(rng.integers(1, 6))) for u in range(110) for i in range(130) if rng.random() < 0.2]
+    cells = spark.createDataFrame(rows, "user_id string, product_id string, rating double")
+    A, us, its = _dense(rows)
+    model = recommend.fit_svd(cells, 12, gram_items=0)
+    s = np.linalg.svd(A, compute_uv=False)
+    assert model.converged and max(model.residuals) <= 1e-7 and model.products > 8
+    assert np.allclose(model.singular_values, s[:12], rtol=1e-10)
+    v = np.array([r.v for r in model.item_factors.orderBy("item_idx").collect()])
+    assert np.abs(v.T @ v - np.eye(12)).max() < 1e-10
+    assert (np.linalg.norm(A.T @ (A @ v) - v * s[:12] ** 2, axis=0) / s[:12] ** 2).max() < 1e-6
+    u = {r.user_id: r.u for r in model.user_scores.collect()}
+    assert np.allclose(np.array([u[x] for x in us]), A @ v, atol=1e-9)
+
+
+def test_a_fit_that_stops_early_says_so(spark):
+    rng = np.random.default_rng(9)
+    cells = spark.createDataFrame([(f"U{u:03d}", f"P{i:03d}", float(rng.integers(1, 6))) for u in range(60) for i in range(70) if rng.random() < 0.3],
+                                  "user_id string, product_id string, rating double")
+    with pytest.raises(recommend.NotConverged):
+        recommend.fit_svd(cells, 4, products=2, gram_items=0)
+    model = recommend.fit_svd(cells, 4, products=2, partial=True, gram_items=0)
+    assert not model.converged and max(model.residuals) > 1e-7 and model.k == 4
+
+
+def test_dominant_direction_low_rank_and_zero_ratings(spark):
+    rng = np.random.default_rng(3)
+    A = 1e4 + (rng.normal(size=(40, 2)) @ rng.normal(size=(2, 60)))          # rank 3, one value far above the rest
+    rows = [(f"U{u:02d}", f"P{i:02d}", float(A[u, i])) for u in range(40) for i in range(60)] + [("U99", "P00", 0.0), ("U00", "P99", 0.0)]
+    model = recommend.fit_svd(spark.createDataFrame(rows, "user_id string, product_id string, rating double"), 6)
+    s = np.linalg.svd(A, compute_uv=False)
+    assert model.k >= 3 and np.allclose(model.singular_values[:3], s[:3], rtol=1e-8)
+    assert all(x < 1e-6 * s[0] for x in model.singular_values[3:])
+    assert model.n_users == 41 and model.n_items == 61
+    users = {r.user_id: r.u for r in model.user_scores.collect()}
+    assert len(users) == 41 and np.allclose(users["U99"], 0)
+
+
+def test_hot_user_and_item_are_dealt_into_tiles(spark):
+    from featurelake.operators import matrix
+
+    cells = spark.range(3000).selectExpr("id % 3 as u", "id as i", "cast(1 as double) as r").union(
+        spark.range(1, 900).selectExpr("id as u", "7 as i", "2D as r"))
+    for by, other in (("u", "i"), ("i", "u")):
+        tiles = matrix.tiles(cells.dropDuplicates(["u", "i"]), by, other, block=16, tile_cells=100).collect()
+        assert max(len(t.r) for t in tiles) < 200
+        assert sum(len(t.r) for t in tiles) == cells.dropDuplicates(["u", "i"]).count()
+        assert all(list(t.other) == sorted(t.other) for t in tiles)
+
+
+def test_sparse_vectors_and_their_transpose(spark):
+    from featurelake.operators import matrix
+
+    cells, rows = _cells(spark, users=12, items=9)
+    A, us, its = _dense(rows)
+    items, users = recommend.item_index(cells), matrix.positions(cells, "user_id", "user_idx")
+    by_user = recommend.sparse_rows(cells, items, segment=4)
+    assert all(list(r.indices) == sorted(r.indices) and {i // 4 for i in r.indices} == {r.segment} for r in by_user.collect())
+    back = np.zeros_like(A)
+    for r in matrix.cells_of(by_user, "user_id").collect():
+        back[us.index(r.user_id), r.position] = r.rating
+    assert (back == A).all()
+    back = np.zeros_like(A)
+    for r in matrix.cells_of(recommend.sparse_columns(cells, users), "product_id").collect():
+        back[r.position, its.index(r.product_id)] = r.rating
+    assert (back == A).all()
+
+
 def test_load_then_save_keeps_the_model(spark, scratch):
     cells, _ = _cells(spark, users=8, items=5)
     model = recommend.fit_svd(cells, 2)
