@@ -150,11 +150,7 @@ def speed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", "user_id", "product_id", "action", F.col("timestamp").alias("ts"))
 
 
-def brand_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Interactions whose product is the part's brand (a dense enough matrix
-    for a 12-component fit): user_id, product_id=brand, rating."""
-    raw = _raw_with_partkey(spark, sf_dir)
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    return (raw.join(part, "l_partkey", "inner")
-               .select("transaction_id", "user_id", F.col("p_brand").alias("product_id"),
-                       "amount", "rating", "timestamp"))
+def by_brand(spark: SparkSession, sf_dir: str, interactions: DataFrame) -> DataFrame:
+    """Interactions with the part's brand in place of the product."""
+    part = table(spark, sf_dir, "part").select(F.concat(F.lit("P"), _txt(F.col("p_partkey"))).alias("product_id"), "p_brand")
+    return interactions.join(part, "product_id").drop("product_id").withColumnRenamed("p_brand", "product_id")

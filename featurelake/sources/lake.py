@@ -194,10 +194,21 @@ def committed_batches(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_speed(spark: SparkSession, speed_path: str) -> DataFrame:
-    """Rows of the committed micro-batches.  A batch that is being written
-    or has failed is not part of the snapshot."""
-    batches = committed_batches(spark, speed_path)
-    if not batches:
+    """Rows of the committed micro-batches, compacted or not.  A batch
+    that is being written or has failed is not part of the snapshot."""
+    from featurelake.streaming import compaction
+
+    rows = compaction.snapshot(spark, speed_path)
+    if rows is None:
+        raise FileNotFoundError(f"no committed micro-batch under {speed_path}")
+    return rows
+
+
+def read_arrivals(spark: SparkSession, speed_path: str) -> DataFrame:
+    """The same rows with ``arrival_number``, 1 to n without gaps."""
+    from featurelake.streaming import compaction
+
+    rows = compaction.snapshot(spark, speed_path, numbered=True)
+    if rows is None:
         raise FileNotFoundError(f"no committed micro-batch under {speed_path}")
-    return spark.read.option("basePath", speed_path).parquet(*batches).select(
-        "event_id", "user_id", "product_id", "action", "ts", "arrived", "stream", "arrival_batch", "arrival_seq")
+    return rows
