@@ -73,6 +73,41 @@ def q_interaction_features(spark, sf_dir):
     return portable(features.interaction_features(prepared(spark, sf_dir), as_of=AS_OF))
 
 
+def _state(spark, sf_dir):
+    """The pair state of all prepared rows, merged from three batches."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import feature_state
+    from featurelake.session import fresh_dir
+    rows = materialize(prepared(spark, sf_dir).withColumn("_batch", F.pmod(F.xxhash64("transaction_id"), F.lit(3))))
+    path = fresh_dir(spark, "pair-state")
+    for b in range(3):
+        state = feature_state.update_state(spark, path, rows.filter(F.col("_batch") == b).drop("_batch"))
+    return state
+
+
+@register("user_features_merged", O.with_base(
+    f"SELECT {O.portable_select(O.USER_FEATURE_COLS)} FROM user_feat", O.USER_FEATURES_CTE))
+def q_user_features_merged(spark, sf_dir):
+    """U1-U12 from the mergeable state, fed batch by batch."""
+    from featurelake.operators import feature_state
+    return portable(feature_state.user_features(_state(spark, sf_dir), as_of=AS_OF))
+
+
+@register("item_features_merged", O.with_base(
+    f"SELECT {O.portable_select(O.ITEM_FEATURE_COLS)} FROM item_feat", O.ITEM_FEATURES_CTE))
+def q_item_features_merged(spark, sf_dir):
+    from featurelake.operators import feature_state
+    return portable(feature_state.item_features(_state(spark, sf_dir), as_of=AS_OF))
+
+
+@register("interaction_features_merged", O.with_base(
+    f"SELECT {O.portable_select(O.INTERACTION_FEATURE_COLS)} FROM inter_feat",
+    O.INTERACTION_FEATURES_CTE))
+def q_interaction_features_merged(spark, sf_dir):
+    from featurelake.operators import feature_state
+    return portable(feature_state.interaction_features(_state(spark, sf_dir), as_of=AS_OF))
+
+
 # -- sources, speed layer, merge, cleaning ------------------------------------
 
 @register("landed_transactions", O.q(f"SELECT {O.portable_select(O.COMBINED_COLS)} FROM raw_tx"))
@@ -89,6 +124,31 @@ def q_landed_transactions(spark, sf_dir):
     return lake.latest_snapshot(spark, root, "internal", "transactions")
 
 
+@register("landed_products", O.LANDED_PRODUCTS_SQL)
+def q_landed_products(spark, sf_dir):
+    """S3: the product catalog as JSON, landed as it came, the newest
+    snapshot read back with inferred columns."""
+    import datetime as dt
+    from featurelake.session import fresh_dir
+    from featurelake.sources import lake
+    root = fresh_dir(spark, "lake")
+    fixtures.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size").write.json(f"{root}/feed")
+    products = lake.read_products(spark, f"{root}/feed")
+    lake.land_raw(products.limit(1), root, "api", "products", dt.datetime(2024, 1, 1), fmt="json")
+    lake.land_raw(products, root, "api", "products", dt.datetime(2024, 1, 2), fmt="json")
+    return lake.latest_snapshot(spark, root, "api", "products", reader=lambda path: lake.read_products(spark, path)).select(
+        "p_partkey", "p_name", "p_brand", "p_size")
+
+
+@register("dq_missing_column", O.DQ_MISSING_COLUMN_SQL)
+def q_dq_missing_column(spark, sf_dir):
+    """V4: a feed that lacks a required column and has one of its own."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import quality
+    feed = combined(spark, sf_dir).drop("rating").withColumn("channel", F.lit("web"))
+    return quality.validate(feed).groupBy("column", "check").agg(F.count(F.lit(1)).alias("failures"))
+
+
 @register("speed_table", O.SPEED_TABLE_SQL)
 def q_speed_table(spark, sf_dir):
     """Event lines (three files) streamed into the speed table."""
@@ -108,6 +168,33 @@ def _ingested(spark, sf_dir, lines=None):
     return root
 
 
+@register("arrival_numbers", O.ARRIVAL_NUMBERS_SQL)
+def q_arrival_numbers(spark, sf_dir):
+    """S8 over the streamed table: the feed comes in two waves with a
+    compaction after the first; every event has one number, none is missing,
+    and the numbers of the first wave are still the same in the end."""
+    from pyspark.sql import functions as F
+    from featurelake.session import fresh_dir
+    from featurelake.sources import lake
+    from featurelake.streaming import compaction, speed_layer
+    root = fresh_dir(spark, "speed")
+    n = F.get_json_object("value", "$.event_id").cast("long")
+    lines = fixtures.event_lines(spark, sf_dir)
+
+    def wave(rows, files):
+        rows.repartition(files).write.mode("append").text(f"{root}/incoming")
+        speed_layer.ingest_folder(spark, f"{root}/incoming", f"{root}/clicks", f"{root}/dead", f"{root}/_checkpoint", 1)
+
+    wave(lines.filter(n % 2 == 0), 3)
+    compaction.compact(spark, f"{root}/clicks", fan=2)
+    first = materialize(lake.read_arrivals(spark, f"{root}/clicks").select("event_id", F.col("arrival_number").alias("before")))
+    wave(lines.filter(n % 2 == 1), 2)
+    compaction.compact(spark, f"{root}/clicks", fan=2)
+    rows = lake.read_arrivals(spark, f"{root}/clicks").join(first, "event_id", "left")
+    return rows.select("arrival_number", (F.col("event_id").cast("long") % 2).alias("wave"),
+                       F.coalesce(F.col("before") == F.col("arrival_number"), F.lit(True)).alias("unchanged"))
+
+
 @register("dead_letters", O.DEAD_LETTERS_SQL)
 def q_dead_letters(spark, sf_dir):
     """Lines that are no events (cut short, with text after the object,
@@ -375,9 +462,10 @@ def interaction_cells(spark, sf_dir):
 
 
 def brand_cells(spark, sf_dir):
-    """R1 with the part's brand as item: few items, for the wide matrix."""
+    """R1 over both layers with the part's brand as item: few items, for the
+    wide matrix.  Products without a part have no brand."""
     from featurelake.operators import recommend
-    return materialize(recommend.rating_cells(fixtures.brand_interactions(spark, sf_dir)))
+    return materialize(recommend.rating_cells(fixtures.by_brand(spark, sf_dir, combined(spark, sf_dir))))
 
 
 def item_mean_model(cells):
@@ -420,6 +508,29 @@ def q_user_item_matrix(spark, sf_dir):
     return portable(recommend.user_item_matrix(brand_cells(spark, sf_dir), BRANDS))
 
 
+@register("user_vectors", O.USER_VECTORS_SQL)
+def q_user_vectors(spark, sf_dir):
+    """R2 for the whole catalog: sparse user vectors over all products and
+    both layers, taken apart again into (user, position, rating)."""
+    from featurelake.operators import matrix, recommend
+    cells = interaction_cells(spark, sf_dir)
+    vectors = materialize(matrix.sparse_rows(cells, recommend.item_index(cells), 1024))
+    return portable(matrix.cells_of(vectors, "user_id"))
+
+
+@register("item_vectors", O.ITEM_VECTORS_SQL)
+def q_item_vectors(spark, sf_dir):
+    """R2 transposed: per product and segment of users the length of the
+    vector, its first and last position, and the ratings' sum."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import matrix
+    cells = interaction_cells(spark, sf_dir)
+    vectors = matrix.sparse_columns(cells, matrix.positions(cells, "user_id", "user_idx"), 1024)
+    return portable(vectors.select(
+        "product_id", "segment", F.size("indices").cast("long").alias("n"), F.element_at("indices", 1).alias("first"),
+        F.element_at("indices", -1).alias("last"), F.aggregate("values", F.lit(0.0), lambda a, x: a + x).alias("total")))
+
+
 @register("train_test_split", O.SPLIT_SQL)
 def q_train_test_split(spark, sf_dir):
     """Sizes of the reproducible 80/20 split of the combined interactions."""
@@ -455,20 +566,22 @@ def q_svd_full_rank(spark, sf_dir):
 
 @register("svd_residuals", O.SVD_RESIDUALS_SQL)
 def q_svd_residuals(spark, sf_dir):
-    """R4 at 12 components: per component the residual of A'A v = s^2 v
-    relative to s^2, and the distance of V'V from the identity."""
+    """R4 with the production settings on the combined interactions: per
+    component the residual of A'A v = s^2 v relative to s^2, worked out anew
+    by joins, and the length of v."""
     from pyspark.sql import functions as F
     from featurelake.operators import recommend
-    cells = brand_cells(spark, sf_dir)
-    model = recommend.fit_svd(cells, 12, oversample=len(BRANDS))
+    cells, model = _svd(spark, sf_dir)
+    parts = range(model.k)
     again = recommend.project_users(cells, model.item_factors, model.k).withColumnRenamed("u", "y")
-    back = cells.join(again, "user_id").select("product_id", "rating", F.posexplode("y").alias("c", "y")).groupBy("product_id", "c").agg(
-        F.sum(F.col("rating") * F.col("y")).alias("w"))
-    s2 = F.array(*[F.lit(x * x) for x in model.singular_values])
-    v = model.item_factors.select("product_id", F.posexplode("v").alias("c", "v"))
-    resid = v.join(back, ["product_id", "c"]).withColumn("s2", s2[F.col("c")]).groupBy("c").agg(
-        (F.sqrt(F.sum(F.pow(F.col("w") - F.col("s2") * F.col("v"), 2))) / F.first("s2")).alias("residual"), F.sum(F.col("v") * F.col("v")).alias("norm"))
-    return portable(resid.select(F.col("c").cast("long").alias("component"), F.abs("residual").alias("residual"), "norm"), 6)
+    back = cells.join(again, "user_id").groupBy("product_id").agg(*[F.sum(F.col("rating") * F.col("y")[c]).alias(f"w{c}") for c in parts])
+    s2 = [x * x for x in model.singular_values]
+    both = model.item_factors.join(back, "product_id")
+    sums = both.agg(*[F.sum(F.pow(F.col(f"w{c}") - F.lit(s2[c]) * F.col("v")[c], 2)).alias(f"r{c}") for c in parts],
+                    *[F.sum(F.pow(F.col("v")[c], 2)).alias(f"n{c}") for c in parts])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).cast("long").alias("component"), (F.sqrt(f"r{c}") / F.lit(s2[c])).alias("residual"),
+                                        F.col(f"n{c}").alias("norm")) for c in parts])).alias("row")
+    return portable(sums.select(rows).select("row.*"), 6)
 
 
 @register("svd_metrics")
@@ -559,6 +672,42 @@ def q_matrix_sample(spark, sf_dir):
     return portable(evaluate.matrix_sample(interaction_cells(spark, sf_dir), 15))
 
 
+@register("baseline_explained_variance", O.BASE_EXPLAINED_SQL)
+def q_baseline_explained_variance(spark, sf_dir):
+    """R10 over a fixed model: ratio and running sum per component."""
+    from featurelake.operators import recommend
+    cells = interaction_cells(spark, sf_dir)
+    return portable(recommend.explained_variance(cells, item_mean_model(cells)))
+
+
+@register("saved_model", O.SAVED_MODEL_SQL)
+def q_saved_model(spark, sf_dir):
+    """A model saved twice under one path and loaded again."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import recommend
+    from featurelake.session import fresh_dir
+    path = fresh_dir(spark, "model")
+    recommend.save_model(item_mean_model(interaction_cells(spark, sf_dir)), path)
+    recommend.save_model(recommend.load_model(spark, path), path)
+    model = recommend.load_model(spark, path)
+    return portable(model.item_factors.select("product_id", "item_idx", F.col("v")[0].alias("m"), F.col("v")[1].alias("p"),
+                                              F.lit(model.n_users).cast("long").alias("n_users"), F.lit(model.n_items).cast("long").alias("n_items")))
+
+
+@register("run_log", O.RUN_LOG_SQL)
+def q_run_log(spark, sf_dir):
+    """Two runs logged under one path and read back."""
+    from pyspark.sql import functions as F
+    from featurelake.operators import evaluate
+    from featurelake.session import fresh_dir
+    path = fresh_dir(spark, "runs")
+    err = evaluate.error_metrics(baseline_pairs(spark, sf_dir)).first()
+    for k in (5, 10):
+        evaluate.log_run(spark, path, {"k": k, "model": "item mean"}, {"RMSE": err["rmse"], "MAE": err["mae"]}, run_id=f"run-{k}")
+    return portable(spark.read.parquet(path).select("run_id", "tag", F.col("params")["k"].alias("k"), F.col("params")["model"].alias("model"),
+                                                    F.col("metrics")["RMSE"].alias("rmse"), F.col("metrics")["MAE"].alias("mae")))
+
+
 # -- whole job ---------------------------------------------------------------------
 
 @register("svd_evaluation")

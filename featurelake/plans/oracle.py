@@ -351,7 +351,7 @@ STAMP_SQL = "strftime(TIMESTAMP '2024-02-01 00:00:00', '%Y-%m-%dT%H:%M:%S.%f')"
 
 CELLS_CTE = f"""brand_raw AS (
   SELECT r.transaction_id, r.user_id, p.p_brand AS product_id, r.amount, r.rating, r.timestamp
-  FROM raw_keyed r JOIN part p ON r.l_partkey = p.p_partkey
+  FROM combined r JOIN part p ON r.product_id = 'P' || p.p_partkey
 ),
 brand_cells AS (
   SELECT user_id, product_id, avg(TRY_CAST(rating AS DOUBLE)) AS rating
@@ -384,6 +384,11 @@ MATRIX_SQL = q("SELECT user_id, " + ", ".join(
     f"{round6(f'COALESCE(max(CASE WHEN product_id = {chr(39)}{b}{chr(39)} THEN rating END), 0.0)')} AS {chr(34)}{b}{chr(34)}" for b in BRANDS)
     + " FROM brand_cells GROUP BY user_id", CELLS_CTE)
 
+USER_VECTORS_SQL = q(f"""SELECT user_id, dense_rank() OVER (ORDER BY product_id) - 1 AS position, {round6('rating')} AS rating FROM cells""", CELLS_CTE)
+
+ITEM_VECTORS_SQL = q(f"""SELECT product_id, place // 1024 AS segment, count(*) AS n, min(place) AS first, max(place) AS last, {round6('sum(rating)')} AS total
+FROM (SELECT product_id, rating, dense_rank() OVER (ORDER BY user_id) - 1 AS place FROM cells) c GROUP BY 1, 2""", CELLS_CTE)
+
 SPLIT_SQL = q(f"""SELECT CAST(count(*) FILTER (WHERE draw >= 0.2) AS BIGINT) AS train_rows, CAST(count(*) FILTER (WHERE draw < 0.2) AS BIGINT) AS test_rows
 FROM (SELECT CAST(CAST('0x' || substr(md5('42' || {" || ".join(f"'|' || COALESCE({c}, '')" for c in TX_NAMES)}), 1, 13) AS BIGINT) AS DOUBLE)
              / 4503599627370496.0 AS draw FROM combined) d""")
@@ -510,3 +515,25 @@ MATRIX_SAMPLE_SQL = q(f"""SELECT u.user_id, i.product_id, {round6('COALESCE(c.ra
 FROM (SELECT DISTINCT user_id FROM cells ORDER BY user_id LIMIT 15) u
 CROSS JOIN (SELECT DISTINCT product_id FROM cells ORDER BY product_id LIMIT 15) i
 LEFT JOIN cells c ON c.user_id = u.user_id AND c.product_id = i.product_id""", CELLS_CTE)
+
+BASE_EXPLAINED_SQL = q(f"""SELECT component, {round6('variance / total')} AS explained_variance_ratio, {round6('c / total')} AS cumulative_ratio
+FROM (SELECT sum(s2 / m - (s1 / m) * (s1 / m)) AS total FROM (
+        SELECT sum(rating * rating) AS s2, sum(rating) AS s1, (SELECT count(*) FROM cell_users)::DOUBLE AS m FROM cells GROUP BY product_id) i) t,
+     (SELECT component, variance, sum(variance) OVER (ORDER BY component) AS c FROM (
+        SELECT 0::BIGINT AS component, 0.0::DOUBLE AS variance UNION ALL SELECT 1, var_pop(s) FROM cell_users) u) v""", CELLS_CTE)
+
+SAVED_MODEL_SQL = q("""SELECT product_id, item_idx, m, p, (SELECT count(*) FROM cell_users) AS n_users, (SELECT count(*) FROM item_mean) AS n_items
+FROM item_mean JOIN (SELECT product_id, row_number() OVER (ORDER BY product_id) - 1 AS item_idx FROM (SELECT DISTINCT product_id FROM cells) d) x
+USING (product_id)""", CELLS_CTE)
+
+RUN_LOG_SQL = q(f"""SELECT 'run-' || k AS run_id, 'MatrixFactorization' AS tag, k, 'item mean' AS model, rmse, mae
+FROM (SELECT {round6('sqrt(avg((actual - prediction) * (actual - prediction)))')} AS rmse, {round6('avg(abs(actual - prediction))')} AS mae FROM pairs) e,
+     (SELECT unnest(['5', '10']) AS k) r""", CELLS_CTE)
+
+LANDED_PRODUCTS_SQL = "SELECT p_partkey::BIGINT AS p_partkey, p_name, p_brand, p_size::BIGINT AS p_size FROM part"
+
+DQ_MISSING_COLUMN_SQL = q("""SELECT "column", "check", count(*) AS failures FROM dq_fail WHERE "column" <> 'rating' GROUP BY 1, 2
+UNION ALL SELECT 'rating', 'column_present', 1""", DQ_FAILURES_CTE)
+
+ARRIVAL_NUMBERS_SQL = q("""SELECT row_number() OVER (ORDER BY wave) AS arrival_number, wave, true AS unchanged
+FROM (SELECT CAST(event_id AS BIGINT) % 2 AS wave FROM speed) s""")
