@@ -41,3 +41,31 @@ def test_hot_text_and_empty(spark, no_docs):
     counts = [sum(r["shard"] == k for r in rows) for k in range(4)]
     assert sum(counts) == 520
     assert sharding.shard_documents(no_docs).count() == 0
+
+
+def test_repeated_rows_are_spread(spark):
+    docs = make_docs(spark, [(7, "the same row " * 9)] * 3000 + [(None, None)] * 500 + [(i, "x" * (i % 90)) for i in range(3000)])
+    rows = sharding.shard_documents(docs, n_shards=5, n_slots=256).collect()
+    sizes = [sum(r["size"] for r in rows if r["shard"] == k) for k in range(5)]
+    assert len(rows) == 6500 and max(sizes) - min(sizes) < 0.02 * sum(sizes) / 5
+    assert all(sorted(r["slot"] for r in rows if r["shard"] == k) == list(range(sum(r["shard"] == k for r in rows))) for k in range(5))
+
+
+def test_the_stored_map_is_edited_from_run_to_run(spark, scratch):
+    old = [(i, "text " * (i % 40)) for i in range(2500)]
+    first = {r["doc_id"]: r for r in sharding.shard_documents(make_docs(spark, old), 6, 256, scratch).collect()}
+    grown = make_docs(spark, old + [(9000 + i, "more " * (i % 40)) for i in range(600)])
+    second = {r["doc_id"]: r for r in sharding.shard_documents(grown, 6, 256, scratch).collect()}
+    assert {r["map_version"] for r in first.values()} == {1} and {r["map_version"] for r in second.values()} == {2}
+    assert all(second[i]["virtual_slot"] == r["virtual_slot"] for i, r in first.items())
+    moved = {r["virtual_slot"] for i, r in first.items() if second[i]["shard"] != r["shard"]}
+    assert len(moved) < 256 / 4                              # a new map would move five sixths
+    sizes = [sum(r["size"] for r in second.values() if r["shard"] == k) for k in range(6)]
+    assert max(sizes) - min(sizes) < 0.02 * sum(sizes) / 6
+    version, shards = sharding.load_map(spark, scratch)
+    assert version == 2 and all(shards[r["virtual_slot"]] == r["shard"] for r in second.values())
+    more = sharding.shard_documents(grown, 7, 256, scratch).collect()
+    assert {r["shard"] for r in more} == set(range(7)) and {r["map_version"] for r in more} == {3}
+    new = sum(r["shard"] == 6 for r in more)
+    assert all(r["shard"] in (second[r["doc_id"]]["shard"], 6) for r in more if r["shard"] == 6)
+    assert new > 0
