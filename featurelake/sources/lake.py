@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from featurelake.schemas import TX_COLUMNS, TX_RAW
+from featurelake.sources import files
 
 
 # -- Hadoop file-system helpers (driver-side metadata calls only) ------------
@@ -58,16 +59,30 @@ def _first_line(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
+def _by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files of each header line.  The tasks read the lines; only paths reach
+    the driver, grouped (Spark plans scans from them).  The driver opens files
+    itself only where tasks cannot, on file systems only Spark can read."""
+    names = spark.read.format("csv").option("header", "true").load(path).inputFiles()
+    if not names:
+        return {}
+    if files.readable(names[0]):
+        found = files.headers(spark.read.format("binaryFile").load(path).select("path", "length"))
+        return {r["header"]: sorted(r["paths"]) for r in found.collect()}
+    groups: dict[str, list[str]] = {}
+    for f in names:
+        groups.setdefault(_first_line(spark, f).lstrip("\ufeff"), []).append(f)
+    return groups
+
+
 def read_csv_by_header(spark: SparkSession, path: str) -> DataFrame:
     """All columns of CSV files as text, found by header *name*.
 
     Files whose headers differ are read in groups and united by name; a column
-    that a group lacks is null there.  The driver reads one line a file.
+    that a group lacks is null there.  One pass over the files' first lines,
+    in tasks, finds the groups: a scan a header, not a file.
     """
-    files = spark.read.format("csv").option("header", "true").load(path).inputFiles()
-    groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(_first_line(spark, f).lstrip("\ufeff"), []).append(f)
+    groups = _by_header(spark, path)
     out = None
     for header in sorted(h for h in groups if h.strip()):
         names = next(csv.reader([header]))
