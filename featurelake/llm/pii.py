@@ -82,22 +82,47 @@ def _is(kind: str):
     return lambda span: span["kind"] == kind
 
 
-def _located(text, pattern: str, kind: str):
-    """Array of all matches with their code-point positions."""
+#: Matches whose positions are added up together; then those of such blocks.
+STRETCH = 256
+
+
+def _placed(text, pattern: str, kind: str, value):
+    """All matches as spans with their code-point positions, from the lengths
+    of the matches and of the gaps between them.
+
+    The sums run in two levels, inside blocks of STRETCH matches and over the
+    blocks, as an array that grows match by match would be copied each time.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
     # a split never yields an empty piece before a match at the start of the
     # text unless the match has a width, and all of ours have
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    pairs = F.zip_with(found, F.slice(F.split(text, pattern, -1), 1, F.size(found)), lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g")))
+    none = F.array().cast(f"array<{SPAN}>")
 
     def step(acc, m):
-        at = acc["at"] + F.length(m["g"])
+        at = acc["at"] + m["g"]
         stop = at + F.length(m["m"])
-        one = F.struct(F.lit(kind).alias("kind"), at.alias("start"), stop.alias("stop"), m["m"].alias("value"))
+        one = F.struct(F.lit(kind).alias("kind"), at.alias("start"), stop.alias("stop"), value(m["m"]).alias("value"))
         return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    pairs = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    return F.aggregate(pairs, start, step)["out"]
+    def in_blocks(all_pairs):
+        count = F.ceil(F.size(all_pairs) / STRETCH).cast("int")
+        return F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda b: F.aggregate(
+            F.slice(all_pairs, (b - 1) * STRETCH + 1, F.lit(STRETCH)), F.struct(F.lit(0).alias("at"), none.alias("out")), step))
+
+    # bound to a name by a transform of one element: worked out once
+    def moved(blocks):
+        starts = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda acc, b: F.struct(
+            (acc["at"] + b["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+        return F.flatten(F.zip_with(blocks, starts, lambda b, start: F.transform(b["out"], lambda s: F.struct(
+            s["kind"].alias("kind"), (s["start"] + start).alias("start"), (s["stop"] + start).alias("stop"), s["value"].alias("value")))))
+
+    once = F.transform(F.array(pairs), in_blocks)
+    return F.flatten(F.transform(once, moved))
+
+
+def _located(text, pattern: str, kind: str):
+    return _placed(text, pattern, kind, lambda m: m)
 
 
 def base_spans(text):
@@ -180,18 +205,7 @@ def disclosing(docs: DataFrame, rows: DataFrame, groups: DataFrame,
 
 def _standing(text, terms):
     """Spans of all places in ``text`` where a word of ``terms`` stands."""
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    pairs = F.zip_with(words, F.slice(F.split(text, WORD, -1), 1, F.size(words)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-
-    def step(acc, m):
-        at = acc["at"] + F.length(m["g"])
-        stop = at + F.length(m["m"])
-        one = F.struct(F.lit("term").alias("kind"), at.alias("start"), stop.alias("stop"), F.lower(m["m"]).alias("value"))
-        return F.struct(stop.alias("at"), F.when(
-            F.array_contains(terms, F.lower(m["m"])), F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(pairs, start, step)["out"]
+    return F.filter(_placed(text, WORD, "term", F.lower), lambda s: F.array_contains(terms, s["value"]))
 
 
 def term_spans(docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:

@@ -45,6 +45,13 @@ def test_base_spans_match_python(spark):
         assert [got[i][f"n_{k}"] for k in BASE] == [sum(x.startswith(k) for x in s) for k in BASE]
 
 
+def test_positions_in_long_texts_full_of_matches(spark):
+    texts = [" ".join(f"é{i % 97} 1.2.3.{i % 256}" for i in range(n)) for n in (255, 256, 257, 512, 513, 60_000)]
+    got = {r["doc_id"]: r for r in pii.digest(pii.personal_data(make_docs(spark, list(enumerate(texts))))).collect()}
+    for i, t in enumerate(texts):
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(spans(t)).encode()).hexdigest()
+
+
 def test_terms_that_give_an_entity_away(spark):
     rng = random.Random(4)
     pairs = [(i, f"{prose(rng, 20)} Zorblatt writes from joe.{i % 2}@mail.example and the rest {prose(rng, 20)}") for i in range(12)]
