@@ -172,6 +172,21 @@ def newest_version(spark: SparkSession, base: str) -> str | None:
     return None
 
 
+def write_version(df: DataFrame, base: str) -> str:
+    """``df`` as a new version under ``base``; the former one stays in place
+    and is what readers see until this one is committed."""
+    path = f"{base.rstrip('/')}/version={new_version()}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
+def read_version(spark: SparkSession, base: str) -> DataFrame:
+    path = newest_version(spark, base.rstrip("/"))
+    if path is None:
+        raise FileNotFoundError(f"no committed version under {base}")
+    return spark.read.parquet(path)
+
+
 def zone_path(lake: str, zone: str) -> str:
     return f"{lake.rstrip('/')}/processed/{zone}"
 
@@ -179,9 +194,7 @@ def zone_path(lake: str, zone: str) -> str:
 def write_zone(df: DataFrame, lake: str, zone: str) -> str:
     """Replace a processed zone (Parquet).  Each write is a new
     version; readers see it once it is committed, and the one before until then."""
-    path = f"{zone_path(lake, zone)}/version={new_version()}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
+    return write_version(df, zone_path(lake, zone))
 
 
 def read_zone(spark: SparkSession, lake: str, zone: str) -> DataFrame:
