@@ -12,6 +12,7 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,9 +46,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    # one process on one machine: a folder of its own is shared by all there is
+    scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-                                 "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH", "/tmp/checkpoints")})
+                                 "spark.checkpoint.dir": scratch})
     # JVM / JIT warm-up on the smallest data set — not timed, nothing reused
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm):

@@ -9,6 +9,7 @@ import contextlib
 import io
 import os
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,7 +38,7 @@ def plan_of(df) -> str:
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", 16, extra={"spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH", "/tmp/checkpoints")})
+    spark = build_session("local[8]", 16, extra={"spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="plans-")})
     root = fresh_dir(spark, "plans")
     raw = fixtures.interactions_raw(spark, sf)
     speed_path = f"{root}/speed"
