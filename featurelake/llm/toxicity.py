@@ -52,13 +52,14 @@ def held_out(doc_id):
 
 def examples(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> DataFrame:
     """(example, text, toxic) of at most ``limit`` labelled rows, chosen by a
-    hash of the id; equal texts once.  Rows without id, label or text and the
-    held-out ones give none; of contradicting labels the highest counts."""
+    hash of the id; equal texts once, under their smallest id.  Rows without
+    id, label or text and the held-out ones give none; of contradicting
+    labels of an id or a text the highest counts."""
     chosen = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(labels["doc_id"])).groupBy(
         "doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")  # limit rows
-    once = rows.withColumn("_th", F.xxhash64("text")).dropDuplicates(["_th"]).drop("_th")
-    return stored(once.select(F.col("doc_id").alias("example"), "text", F.col("toxic").cast("int").alias("toxic")), "toxic-examples")
+    once = rows.groupBy("text").agg(F.min("doc_id").alias("example"), F.max("toxic").cast("int").alias("toxic"))
+    return stored(once.select("example", "text", "toxic"), "toxic-examples")
 
 
 def vocabulary(sample: DataFrame, limit: int = MAX_TERMS) -> list[str]:
@@ -200,7 +201,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: i
 
     Null and empty texts and those without a vocabulary term score the rate
     of such examples; without any examples every score is 0.  Repeated rows
-    keep a row each.
+    keep a row each.  Neighbours at one distance rank by example id; very long
+    texts count whole; an empty table gives no rows; further columns of
+    ``docs`` are not carried.
     """
     sample = examples(docs, labels, limit)
     terms = vocabulary(sample)
