@@ -74,7 +74,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 
     Null and empty texts have no words and no hits; empty items match
     nothing; items or documents that repeat count as they stand; null ids are
-    kept (null item ids cannot be named and are left out of the list).
+    kept (null item ids cannot be named and are left out of the list).  Very
+    long texts are searched whole; of equally rare words a window is found by
+    its first; without documents there are no rows, without items no hits;
+    further columns are not carried.
     """
     found = stored(occurrences(docs, benchmark, size).distinct(), "occurrences")
     order = W.partitionBy("doc_id", "th").orderBy("start", "stop").rowsBetween(W.unboundedPreceding, -1)
@@ -95,6 +98,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark window."""
+    """``docs`` without the documents that hold a benchmark window; all columns
+    and repeated rows stay as they are, null and empty texts too."""
     bad = stored(row_keys(occurrences(docs, benchmark, size)).distinct(), "contaminated")
     return rows_in(docs, checked_broadcast(bad), "left_anti")

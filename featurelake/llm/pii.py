@@ -228,7 +228,10 @@ def listed(spans):
 def personal_data(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """(doc_id, th, spans, terms) for every row of ``docs``; ``spans`` are the
     fixed patterns', ``terms`` the added ones, both empty arrays for null,
-    empty and clean texts.  Copies count as documents, as evidence once."""
+    empty and clean texts.  Copies count as documents, as evidence once.
+    Repeated rows keep a row each; a very long text is located in one row, in
+    time linear in its matches; terms exactly at the threshold count; an empty
+    table gives no rows; further columns of ``docs`` are not carried."""
     slim = stored(with_spans(docs).select(
         "doc_id", "th", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")), "pii-spans")
     terms = stored(term_spans(docs, slim.filter(F.size("spans") > 0).select("th", "text", "spans"), threshold, support), "pii-terms")

@@ -147,6 +147,8 @@ def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     for every row of ``docs``; positions are code points, stops exclusive.
     ``spans`` holds all spans by start, then kind as listed, the added kind
     last.  Null and empty texts have none; repeated rows keep a row each.
+    A very long text is scanned whole, in time linear in it; an empty table
+    gives no rows; further columns of ``docs`` are not carried.
     """
     def run(rows):
         known = [re.compile(p) for p in allow]

@@ -430,7 +430,9 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Null and empty pages, and those without article text, give an empty
     text.  Pages without a host in their url share one wrapper.  Repeated
-    rows keep a row each.
+    rows keep a row each, null ids stay null; a very long page is parsed whole
+    by one task; an empty table gives no rows; further columns of ``pages``
+    are not carried.
     """
     found = stored(infer(pages), "wrappers")
     size = found.agg(F.coalesce(F.sum(F.length("wrapper")), F.lit(0))).first()[0]
