@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns what it keeps, with the
 columns of documents; the last returns the encoded corpus.  ``run`` writes
 every stage's rows to the shared scratch folder and reads them again.
+
+All stages take null and empty texts (they stay, and give no ids), very long
+texts (whole), rows that repeat, null ids, empty tables and further columns of
+any name (kept up to the last stage).
 """
 
 from __future__ import annotations
@@ -15,19 +19,21 @@ from featurelake.llm.common import stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the labelled neighbours predict toxic go."""
+    """Documents that the labelled neighbours predict toxic go; a score of
+    exactly 0.5 is toxic.  Rows that repeat go or stay together."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, Jaccard 0.8 or more)
-    one document stays."""
+    one document stays: the smallest id; of rows that repeat it, one.  Texts
+    without words all stay."""
     return shingle_join.one_of_each(docs, shingle_join.NEAR_COPY)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten consecutive words of a benchmark item, or a
-    whole shorter item, go."""
+    whole shorter item, go.  Without items all stay."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -60,5 +66,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The neighbours, the component search over floating bounds and the encoder
-# have no SQL form; no test compares the rows of ``run`` with a brute-force version.
+# have no SQL form; tests/llm compares the rows of ``run`` with a plain-Python version.
 ORACLE_SQL = None
