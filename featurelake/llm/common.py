@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +20,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes that go to a Python task at a time; Spark, its buffers and the task
+#: each hold a batch or two of that size.
+BATCH_BYTES = 8 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Smaller Arrow batches for the jobs inside; the session's own setting is
+    put back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    former = spark.conf.get(name, None)
+    size = (former or "").rstrip("bB")
+    if size.lstrip("-").isdigit() and not 0 < int(size) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if former is not None:
+            spark.conf.set(name, former)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: computed
     once, lineage cut, recoverable when executors are lost."""
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released() -> None:
+    """Give memory back to the system at the end of a partition: the worker
+    lives on and waits for tasks of other operators."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library
+        pass
+
+
 #: Rows of a few numbers or short arrays that are broadcast at most.
 BROADCAST_ROWS = 200_000
 
@@ -95,6 +131,8 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], sc
                 held = []
         if held:
             yield _batch(held, arrow)
+        held = []
+        released()
 
     return df.mapInArrow(run, out)
 

@@ -70,7 +70,7 @@ class WordHashes(dict):
     """Word to 64-bit hash, remembered up to a bounded number of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 150_000:
+        if len(self) > 50_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -92,7 +92,7 @@ def shingles(text: bytes | None, hashes: WordHashes, k: int) -> np.ndarray:
     return np.unique(_mix(h, 0))
 
 
-def batch_shingles(rows, hashes: WordHashes, k: int, limit: int = 200_000):
+def batch_shingles(rows, hashes: WordHashes, k: int, limit: int = 50_000):
     """(row, ``shingles`` of its last field) for many rows at a time: the
     hashes of all windows of a batch are computed together."""
     held, texts, size = [], [], 0
@@ -146,16 +146,10 @@ def signatures(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     size = 1 << SKETCH_BITS
 
     def run(rows):
-        hashes, counts, held, waiting = WordHashes(), np.zeros(size, np.uint32), [], 0
+        hashes, counts, one = WordHashes(), np.zeros(size, np.uint32), np.uint32(1)
         for (doc_id, th, _), s in batch_shingles(rows, hashes, measure.words):
-            held.append(s)
-            waiting += len(s)
-            if waiting > 1_000_000:
-                counts += np.bincount((np.concatenate(held) & _U(size - 1)).astype(np.int64), minlength=size).astype(np.uint32)
-                held, waiting = [], 0
+            np.add.at(counts, (s & _U(size - 1)).astype(np.int64), one)     # in place
             yield 0, doc_id, th, len(s), xxhash.xxh3_128_digest(s.tobytes())
-        if held:
-            counts += np.bincount((np.concatenate(held) & _U(size - 1)).astype(np.int64), minlength=size).astype(np.uint32)
         if counts.any():
             for i, block in enumerate(np.split(counts, SKETCH_BLOCKS)):
                 yield 1, i, None, 0, block.tobytes()
@@ -203,7 +197,7 @@ def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes, measure: Mea
 
     def run(rows):
         hashes, seen = WordHashes(), set()
-        level = np.frombuffer(freq.value, np.uint8).astype(_U) << _U(58)
+        level = np.frombuffer(freq.value, np.uint8)
         mask = _U((1 << SKETCH_BITS) - 1)
         for _, s in batch_shingles(rows, hashes, measure.words):
             if not len(s):
@@ -211,10 +205,10 @@ def prefixes(docs: DataFrame, classes: DataFrame, frequency: bytes, measure: Mea
             sig = xxhash.xxh3_128_digest(s.tobytes())
             if sig in seen:
                 continue
-            if len(seen) > 100_000:
+            if len(seen) > 30_000:
                 seen.clear()
             seen.add(sig)
-            high = level[(s & mask).astype(np.int64)]
+            high = level[(s & mask).astype(np.int64)].astype(_U) << _U(58)
             p = prefix_length(len(s), measure.percent)
             first, second = (np.sort(np.partition(high | (_mix(s, seed) >> _U(6)), p - 1)[:p]) for seed in ORDERS)
             yield sig, first.tobytes(), (second >> _U(31)).astype(np.uint32).tobytes()
