@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +52,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "featurelake", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster, pass the cluster master and a
     ``spark.sql.shuffle.partitions`` sized to ~128-256 MB per partition."""
+    # Python workers of a local session find this package from any folder
+    root = str(Path(__file__).resolve().parent.parent)
+    known = os.environ.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (root, known) if p)
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
