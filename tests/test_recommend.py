@@ -296,3 +296,20 @@ def test_load_then_save_keeps_the_model(spark, scratch):
 def test_no_cells(spark):
     cells = spark.createDataFrame([], "user_id string, product_id string, rating double")
     assert recommend.fit_svd(cells, 3).k == 0
+
+
+def test_packed_tables_are_not_broadcast(spark):
+    cells, _ = _cells(spark, seed=6)
+    plan = recommend.recommend(recommend.fit_svd(cells, 2), 3)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_cells_of_one_block_are_not_shuffled_to_meet_its_size(spark):
+    from featurelake.operators.matrix import tiles
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbers = spark.range(5000).selectExpr("id AS u", "id % 25 AS i", "1.0D AS r")
+        plan = tiles(numbers, "i", "u")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
