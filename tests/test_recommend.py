@@ -229,6 +229,64 @@ def test_slowly_falling_spectrum_converges(spark):
     assert np.allclose(np.array([u[x] for x in us]), A @ v, atol=1e-9)
 
 
+def test_far_largest_direction_leaves_the_others(spark):
+    # a random block sees little of the largest direction at first: filters of full degree kept nothing else
+    rng = np.random.default_rng(5)
+    users, items = 600, 900
+    rows = [(f"U{u:03d}", f"P{i:03d}", float(rng.integers(1, 6))) for u in range(users) for i in range(items) if i < 12 or rng.random() < 0.01]
+    model = recommend.fit_svd(spark.createDataFrame(rows, "user_id string, product_id string, rating double"), 18, gram_items=0, products=8, partial=True)
+    A, _, _ = _dense(rows)
+    assert model.k == 18          # 13 were left of the block before
+    assert model.singular_values[0] == pytest.approx(np.linalg.norm(A, 2), rel=1e-6)
+
+
+def test_degree_is_low_while_the_largest_value_is_unsettled():
+    from featurelake.operators import svd
+
+    values = np.array([58.1, 57.9, 51.7]) ** 2
+    assert svd._degree(values, 4.7 * values, float(values[-1]), 10) <= 2
+    assert svd._degree(values, 1e-6 * values, float(values[-1]), 10) == 10
+
+
+def test_lost_directions_are_replaced(spark, monkeypatch):
+    from featurelake.operators import svd
+
+    rng = np.random.default_rng(8)
+    A = rng.normal(size=(30, 40))
+    cells = spark.createDataFrame([(f"U{u:02d}", f"P{i:02d}", float(A[u, i])) for u in range(30) for i in range(40)],
+                                  "user_id string, product_id string, rating double")
+    rotation, calls = svd._rotation, []
+
+    def losing(gram, image):
+        values, q = rotation(gram, image)
+        calls.append(1)
+        return (values[:2], q[:, :2]) if len(calls) == 1 else (values, q)
+
+    monkeypatch.setattr(svd, "_rotation", losing)
+    model = svd.fit_svd(cells, 4, gram_items=0)
+    assert model.k == 4 and np.allclose(model.singular_values, np.linalg.svd(A, compute_uv=False)[:4], rtol=1e-8)
+
+
+def test_sums_of_a_range_of_rows_leave_a_task_once(spark, monkeypatch):
+    from featurelake.operators import svd
+
+    rng = np.random.default_rng(7)
+    A = np.where(rng.random((5000, 4500)) < 0.004, rng.integers(1, 6, (5000, 4500)), 0).astype(float)
+    u, i = np.nonzero(A)
+    cells = spark.createDataFrame([(int(a), int(b), float(A[a, b])) for a, b in zip(u, i)], "u long, i long, r double")
+    monkeypatch.setattr(svd, "RANGE_CELLS", 20_000)
+    products = svd._Products(cells, 5000, 4500, 3)
+    assert products.user_rows == 2048 and products.by_item.select("group").distinct().count() == 3
+    x = svd._start(4500, 3, spark)
+
+    def whole(blocks):
+        return np.vstack([svd._matrix(r["x"], 3) for r in blocks.orderBy("block").collect()])
+
+    y = products.times(x, 3)
+    assert np.allclose(whole(y), A @ whole(x), atol=1e-10)
+    assert np.allclose(whole(products.times_transposed(y, 3)), A.T @ (A @ whole(x)), atol=1e-8)
+
+
 def test_a_fit_that_stops_early_says_so(spark):
     rng = np.random.default_rng(9)
     cells = spark.createDataFrame([(f"U{u:03d}", f"P{i:03d}", float(rng.integers(1, 6))) for u in range(60) for i in range(70) if rng.random() < 0.3],
