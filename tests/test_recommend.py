@@ -371,3 +371,32 @@ def test_cells_of_one_block_are_not_shuffled_to_meet_its_size(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_best_vectors_come_from_all_steps_of_a_filter():
+    from featurelake.operators import svd
+
+    rng = np.random.default_rng(11)
+    A = rng.normal(size=(300, 200))
+    gram, width, k = A.T @ A, 8, 3
+    x, _ = np.linalg.qr(rng.normal(size=(200, width)))
+    values, q = svd._rotation(x.T @ x, x.T @ gram @ x)
+    x, cut = x @ q, float(values[-1])
+    steps = [x, 2 / cut * gram @ x - x]
+    for _ in range(6):
+        steps.append(4 / cut * gram @ steps[-1] - 2 * steps[-1] - steps[-2])
+    basis = np.hstack(steps)
+    values, c, d = svd._best(basis.T @ basis, width, cut, width)
+    v, last = basis @ c, steps[-2]
+    assert np.allclose(v.T @ v, np.eye(width), atol=1e-8) and np.allclose(gram @ v, basis @ d, atol=1e-6 * values[0])
+    former = svd._rotation(last.T @ last, last.T @ gram @ last)[0]        # the last step alone, as before
+    true = np.linalg.eigvalsh(gram)[::-1]
+    assert all(true[:k] - values[:k] < (true[:k] - former[:k]) / 3 + 1e-9 * true[0])
+
+
+def test_a_filter_ends_where_the_residuals_need_no_more():
+    from featurelake.operators import svd
+
+    values = np.array([4.0, 3.0, 2.0])
+    assert svd._enough(values, 1e-6 * values[:2], 2.0, 1e-7) < 5 < svd._enough(values, 1e-2 * values[:2], 2.0, 1e-7)
+    assert svd._enough(values, 1e-6 * values, 2.0, 1e-7) == svd.DEGREE        # no gap to tell by
