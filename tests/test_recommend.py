@@ -400,3 +400,32 @@ def test_a_filter_ends_where_the_residuals_need_no_more():
     values = np.array([4.0, 3.0, 2.0])
     assert svd._enough(values, 1e-6 * values[:2], 2.0, 1e-7) < 5 < svd._enough(values, 1e-2 * values[:2], 2.0, 1e-7)
     assert svd._enough(values, 1e-6 * values, 2.0, 1e-7) == svd.DEGREE        # no gap to tell by
+
+
+def test_large_blocks_and_indexes_do_not_go_through_the_driver(spark, monkeypatch):
+    # some ten kilobytes in files, or none in Spark's eyes: it would broadcast them, whatever they grow to
+    from featurelake.operators import matrix, svd
+
+    rng = np.random.default_rng(4)
+    rows = [(f"u{u}", f"p{p:04d}", float(rng.integers(1, 6))) for u in range(40) for p in rng.choice(300, 20, replace=False).tolist()]
+    cells = spark.createDataFrame(rows, "user_id string, product_id string, rating double")
+    want = recommend.fit_svd(cells, 3, oversample=5, gram_items=10)
+    items, users = matrix.positions(cells, "product_id", "item_idx"), matrix.positions(cells, "user_id", "user_idx")
+
+    def joins(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [plan.count(f"{kind}Join") for kind in ("BroadcastHash", "SortMerge")]
+
+    few = joins(matrix.numbered(cells, users, items, 40, 300))
+    assert few[1] == 0
+    monkeypatch.setattr(matrix, "INDEX_ROWS", 30)
+    monkeypatch.setattr(svd, "BROADCAST_BYTES", 0)
+    many = matrix.numbered(cells, users, items, 40, 300)
+    # what is left to broadcast are the offsets of positions, a row per partition
+    assert joins(many) == [few[0] - 2, 2] and many.count() == len(rows)
+    products = svd._Products(many, 40, 300, 8)
+    start = svd._start(300, 8, spark)
+    assert joins(products.times(start, 8)) == [0, 1]
+    assert joins(svd._joined_image(products, start, 8)) == [0, 3]
+    got = recommend.fit_svd(cells, 3, oversample=5, gram_items=10)
+    assert got.singular_values == pytest.approx(want.singular_values, rel=1e-9) and got.converged
